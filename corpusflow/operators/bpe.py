@@ -21,7 +21,7 @@ SPECIALS = ("<s>", "</s>", "<pad>", "<unk>", "<mask>")
 SPLIT_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # -------------------------------------------------------------------------------
 TOP_PAIRS = 128
-CUT_EVERY = 24
+CUT_EVERY = 8
 
 
 def _byte_order() -> list[int]:
@@ -62,9 +62,8 @@ def pretoken_counts(df: DataFrame, text: str = "text", pattern: str = SPLIT_PATT
 
 
 def adjacent_pairs(symbols: Column | str) -> Column:
-    chars = tx.char_list(symbols)
-    n = F.greatest(F.size(chars) - 1, F.lit(0))
-    return F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda a, b: F.concat(a, b))
+    """All overlapping two-character pieces."""
+    return F.regexp_extract_all(tx.as_col(symbols), F.lit("(?s)(?=(..))"), F.lit(1))
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
@@ -114,7 +113,8 @@ def train_bpe(
     """
     spark = df.sparkSession
     words = pretoken_counts(df, text, pattern).select(byte_symbols("word", len(specials)).alias("w"), "n")
-    words = cut_lineage(words.filter(F.length("w") > 1))
+    # every core gets an equal share: the rounds below are bound by work per word, not by bytes
+    words = cut_lineage(words.filter(F.length("w") > 1).repartition(spark.sparkContext.defaultParallelism, "w"))
     tokens: list[bytes] = [s.encode() for s in specials] + [bytes([b]) for b in _byte_order()]
     known = {value: i for i, value in enumerate(tokens) if i >= len(specials)}
     merges: list[tuple[int, int, int, int]] = []
@@ -138,9 +138,8 @@ def train_bpe(
             # merging into an existing token adds to counts the run's bound did not cover
             if reused or len(tokens) >= vocab_size:
                 break
-        words = words.filter(F.length("w") > 1)
         if pending >= CUT_EVERY:
-            words, pending = cut_lineage(words), 0
+            words, pending = cut_lineage(words.filter(F.length("w") > 1)), 0
     vocab = spark.createDataFrame([(i, bytearray(v)) for i, v in enumerate(tokens)], "id int, bytes binary")
     table = spark.createDataFrame(merges, "rank int, left int, right int, new_id int")
     return vocab, table
@@ -213,5 +212,5 @@ def bpe_decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "te
     latin = F.decode("bytes", "ISO-8859-1")
     entries = vocab.agg(F.array_sort(F.collect_list(F.struct("id", latin.alias("s")))).alias("v"))
     names = entries.select(F.transform("v", lambda e: e["s"]).alias("v")).scalar()
-    parts = F.transform(F.filter(ids, lambda i: i >= skip), lambda i: F.get(names, i))
-    return df.withColumn(out, tx.bytes_to_text(F.array_join(parts, ""), "�"))
+    parts = F.transform(F.filter(ids, lambda i: i >= skip), lambda i: F.get("_names", i))
+    return df.withColumn("_names", names).withColumn(out, tx.bytes_to_text(F.array_join(parts, ""), "�")).drop("_names")

@@ -268,7 +268,7 @@ def _generate_in_row(rows, table, max_new, key, seed, eos, vocab):
     def step(out: Column, i: Column) -> Column:
         last = F.coalesce(F.element_at(out, -1), F.element_at("start", -1))
         u = tx.uniform(F.lit(seed), key, "sample", i)
-        cuts = F.get(table, last)
+        cuts = F.get("_table", last)
         nxt = F.get(F.filter(cuts, lambda c: c["hi"] > u), F.lit(0))["next"]
         done = F.lit(False) if eos is None else F.coalesce(F.element_at(out, -1) == eos, F.lit(False))
         return F.when(done | nxt.isNull(), out).otherwise(F.concat(out, F.array(nxt)))
@@ -276,7 +276,7 @@ def _generate_in_row(rows, table, max_new, key, seed, eos, vocab):
     steps = F.sequence(F.lit(0), F.lit(max_new - 1))
     empty = F.array().cast("array<int>")
     new = F.aggregate(steps, empty, step)
-    return rows.select(key, "sample", F.col("start").alias("prompt_ids"), new.alias("new_ids"))
+    return rows.withColumn("_table", table).select(key, "sample", F.col("start").alias("prompt_ids"), new.alias("new_ids"))
 
 
 def _generate_by_join(rows, table, model, max_new, key, seed, eos):

@@ -22,7 +22,8 @@ def project(df: DataFrame, vec: str, weights: DataFrame, key: str, out: str = "y
     n, width = int(shape["n"]), int(shape["d"] or 0)
     if n * width <= inline_cells:
         matrix = weights.agg(F.array_sort(F.collect_list(F.struct("unit", doubles("w").alias("w")))).alias("m")).scalar()
-        return df.withColumn(out, F.transform(matrix, lambda r: dot(doubles(vec), r["w"])))
+        rows = df.withColumn("_m", matrix)
+        return rows.withColumn(out, F.transform("_m", lambda r: dot(doubles(vec), r["w"]))).drop("_m")
     per_slab, salts = max(1, inline_cells // width), 64
     # slab numbers from the rank of the unit, so slabs have an exact size whatever the ids are
     from ..plans.scan import ordinal
