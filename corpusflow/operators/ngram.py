@@ -266,11 +266,11 @@ def _generate_in_row(rows, table, max_new, key, seed, eos, vocab):
     table = whole.select(F.transform(slots, lambda c: F.try_element_at("m", c.cast("bigint"))).alias("cuts")).scalar()
 
     def step(out: Column, i: Column) -> Column:
-        last = F.coalesce(F.element_at(out, -1), F.element_at("start", -1))
+        last = F.coalesce(F.try_element_at(out, F.lit(-1)), F.try_element_at("start", F.lit(-1)))
         u = tx.uniform(F.lit(seed), key, "sample", i)
         cuts = F.get("_table", last)
         nxt = F.get(F.filter(cuts, lambda c: c["hi"] > u), F.lit(0))["next"]
-        done = F.lit(False) if eos is None else F.coalesce(F.element_at(out, -1) == eos, F.lit(False))
+        done = F.lit(False) if eos is None else F.coalesce(F.try_element_at(out, F.lit(-1)) == eos, F.lit(False))
         return F.when(done | nxt.isNull(), out).otherwise(F.concat(out, F.array(nxt)))
 
     steps = F.sequence(F.lit(0), F.lit(max_new - 1))
