@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,15 @@ IGNORE_LABEL = -100
 # -----------------------------------------------------------------------------
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body``.
+
+    An expression written inside an array lambda is evaluated for every element; this is
+    how a row-level value is bound outside of it.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def total(xs: Column | str) -> Column:
     return F.aggregate(as_col(xs), F.lit(0.0), lambda acc, x: acc + x)
 
@@ -28,8 +39,8 @@ def doubles(xs: Column | str) -> Column:
 def softmax(xs: Column | str) -> Column:
     """Max-shifted softmax over an array."""
     xs = as_col(xs)
-    exps = F.transform(xs, lambda x: F.exp(x - F.array_max(xs)))
-    return F.transform(exps, lambda e: e / total(exps))
+    exps = let(F.array_max(xs), lambda m: F.transform(xs, lambda x: F.exp(x - m)))
+    return let(exps, lambda es: let(total(es), lambda s: F.transform(es, lambda e: e / s)))
 
 
 def head(xs: Column | str, n: int | Column) -> Column:

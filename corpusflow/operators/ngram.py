@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as tx
-from ..functions.arrays import EOS_ID
+from ..functions.arrays import EOS_ID, let, tail
 from ..plans.skew import attach
 from ..plans.storage import cut_lineage
 
@@ -223,11 +223,14 @@ def generation_table(
 
 def _start_ids(prompt_ids: Column, block_size: int) -> Column:
     """Last ``block_size`` tokens; an empty prompt starts from byte 10."""
-    from ..functions.arrays import tail
-
     return F.when(F.size(prompt_ids) == 0, F.array(F.lit(10))).otherwise(tail(prompt_ids, block_size))
 
 
+def _pick(cuts: Column, u: Column) -> Column:
+    """Token whose slice holds ``u``: the first with ``hi > u``."""
+    return F.get(F.filter(cuts, lambda c: c["hi"] > u), F.lit(0))["next"]
+
+
 def generate(
     prompts: DataFrame,
     model: NgramModel,
@@ -268,10 +271,9 @@ def _generate_in_row(rows, table, max_new, key, seed, eos, vocab):
     def step(out: Column, i: Column) -> Column:
         last = F.coalesce(F.try_element_at(out, F.lit(-1)), F.try_element_at("start", F.lit(-1)))
         u = tx.uniform(F.lit(seed), key, "sample", i)
-        cuts = F.get("_table", last)
-        nxt = F.get(F.filter(cuts, lambda c: c["hi"] > u), F.lit(0))["next"]
+        nxt = let(u, lambda x: _pick(F.get("_table", last), x))
         done = F.lit(False) if eos is None else F.coalesce(F.try_element_at(out, F.lit(-1)) == eos, F.lit(False))
-        return F.when(done | nxt.isNull(), out).otherwise(F.concat(out, F.array(nxt)))
+        return F.when(done, out).otherwise(let(nxt, lambda n: F.when(n.isNull(), out).otherwise(F.concat(out, F.array(n)))))
 
     steps = F.sequence(F.lit(0), F.lit(max_new - 1))
     empty = F.array().cast("array<int>")
@@ -298,7 +300,8 @@ def _generate_by_join(rows, table, model, max_new, key, seed, eos):
         live = state.withColumn("ctx", F.when(~F.col("done"), context(F.concat("prompt_ids", "new_ids"))))
         joined = live.join(cuts, "ctx", "left")
         u = tx.uniform(F.lit(seed), key, "sample", F.lit(i))
-        nxt = F.get(F.filter("cuts", lambda c: c["hi"] > u), F.lit(0))["next"]
+        joined = joined.withColumn("nxt", let(u, lambda x: _pick(F.col("cuts"), x)))
+        nxt = F.col("nxt")
         stop = F.col("done") | nxt.isNull()
         ended = F.lit(False) if eos is None else F.coalesce(nxt == eos, F.lit(False))
         state = joined.select(

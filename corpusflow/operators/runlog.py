@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.arrays import doubles, total
+from ..functions.arrays import doubles, let, total
 from ..plans.scan import prefix_scan
 
 # --- fixed values: metric routing ----------------------------------------------
@@ -72,7 +72,7 @@ def route_metrics(df: DataFrame, key: str = "key", values: str = "values", text:
     kind = metric_kind(F.col(key), F.col(values))
     n = F.size(values)
     mean = total(xs) / n
-    std = F.sqrt(total(F.transform(xs, lambda x: (x - mean) * (x - mean))) / n)
+    std = let(mean, lambda m: F.sqrt(total(F.transform(xs, lambda x: (x - m) * (x - m))) / n))
 
     def entry(tag: Column, kind: str, value: Column, txt: Column) -> Column:
         return F.struct(

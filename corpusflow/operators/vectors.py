@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import dot, doubles, softmax, total
+from ..functions.arrays import dot, doubles, let, softmax, total
 
 # a weight table up to this many cells travels with the query; beyond it the rows are joined to slabs of it
 INLINE_CELLS = 262_144
@@ -23,7 +23,8 @@ def project(df: DataFrame, vec: str, weights: DataFrame, key: str, out: str = "y
     if n * width <= inline_cells:
         matrix = weights.agg(F.array_sort(F.collect_list(F.struct("unit", doubles("w").alias("w")))).alias("m")).scalar()
         rows = df.withColumn("_m", matrix)
-        return rows.withColumn(out, F.transform("_m", lambda r: dot(doubles(vec), r["w"]))).drop("_m")
+        outputs = let(doubles(vec), lambda x: F.transform("_m", lambda r: dot(x, r["w"])))
+        return rows.withColumn(out, outputs).drop("_m")
     per_slab, salts = max(1, inline_cells // width), 64
     # slab numbers from the rank of the unit, so slabs have an exact size whatever the ids are
     from ..plans.scan import ordinal
@@ -43,18 +44,23 @@ def project(df: DataFrame, vec: str, weights: DataFrame, key: str, out: str = "y
 
 
 def rms_norm(vec: Column | str, eps: float = 1e-8, gain: Column | None = None) -> Column:
-    xs = doubles(vec)
-    scale = F.sqrt(total(F.transform(xs, lambda x: x * x)) / F.size(xs) + F.lit(eps))
-    scaled = F.transform(xs, lambda x: x / scale)
+    def scale(xs: Column) -> Column:
+        return F.sqrt(total(F.transform(xs, lambda x: x * x)) / F.size(xs) + F.lit(eps))
+
+    scaled = let(doubles(vec), lambda xs: let(scale(xs), lambda s: F.transform(xs, lambda x: x / s)))
     return scaled if gain is None else F.zip_with(scaled, gain, lambda x, g: x * g)
 
 
 def layer_norm(vec: Column | str, eps: float = 1e-5) -> Column:
     """Zero mean, unit population variance."""
-    xs = doubles(vec)
-    mean = total(xs) / F.size(xs)
-    var = total(F.transform(xs, lambda x: (x - mean) * (x - mean))) / F.size(xs)
-    return F.transform(xs, lambda x: (x - mean) / F.sqrt(var + F.lit(eps)))
+    def scaled(centered: Column) -> Column:
+        std = F.sqrt(total(F.transform(centered, lambda x: x * x)) / F.size(centered) + F.lit(eps))
+        return let(std, lambda s: F.transform(centered, lambda x: x / s))
+
+    centered = let(
+        doubles(vec), lambda xs: let(total(xs) / F.size(xs), lambda m: F.transform(xs, lambda x: x - m))
+    )
+    return let(centered, scaled)
 
 
 def centroids(df: DataFrame, vec: str, label: str) -> DataFrame:
