@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
@@ -44,7 +45,8 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append", available_n
         writer = writer.foreachBatch(save)
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
-    schema = stream.schema if mode == "append" else stream.schema.add("epoch", "int")
+    fields = list(stream.schema.fields)
+    schema = T.StructType(fields if mode == "append" else [*fields, T.StructField("epoch", T.IntegerType())])
     return spark.read.schema(schema).parquet(f"{base}/data")
 
 
