@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,13 +49,17 @@ class NgramModel:
         """``[ctx, next, logp]`` for every pair of a bounded model (at most ``BOUNDED_ROWS`` rows)."""
         if not self.bounded:
             raise ValueError("a dense table needs vocab ** order <= %d" % BOUNDED_ROWS)
-        grid = self.counts.sparkSession.range(self.vocab**self.order).select(
-            F.expr(f"id div {self.vocab}").alias("ctx"), (F.col("id") % self.vocab).cast("int").alias("next")
-        )
+        grid = pair_grid(self.counts.sparkSession, self.vocab, self.order)
         filled = grid.join(self.counts, ["ctx", "next"], "left").join(self.totals(), "ctx", "left")
         return filled.select("ctx", "next", self.logp(F.col("n"), F.col("total")).alias(logp))
 
 
+def pair_grid(spark: SparkSession, vocab: int = BYTE_VOCAB, order: int = 2) -> DataFrame:
+    """Every ``[ctx, next]`` of a bounded model."""
+    codes = spark.range(vocab**order)
+    return codes.select(F.expr(f"id div {vocab}").alias("ctx"), (F.col("id") % vocab).cast("int").alias("next"))
+
+
 def transitions(ids: Column | str, order: int = 2, vocab: int = BYTE_VOCAB) -> Column:
     """Array of ``(pos, ctx, next)``; ``ctx`` packs the previous ``order - 1`` tokens in base ``vocab``."""
     ids = tx.as_col(ids)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..plans.layout import spread
 from ..plans.scan import ordinal
 
 
@@ -13,6 +14,11 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def documents(spark: SparkSession, root: str, *columns: str) -> DataFrame:
+    """The given columns of ``documents``, laid out so that text work uses every core."""
+    return spread(table(spark, root, "documents").select("doc_id", *columns), "doc_id")
+
+
 def sft_pairs(spark: SparkSession, root: str) -> DataFrame:
     """User turn, following assistant turn, and a preceding system turn as input.
 

@@ -11,23 +11,39 @@ from . import tables as t
 
 
 def corpus_model(spark: SparkSession, root: str, alpha: float = 1.0) -> ngram.NgramModel:
-    docs = t.table(spark, root, "documents").select(tx.byte_ids("text").alias("ids"))
+    docs = t.documents(spark, root, "text").select(tx.byte_ids("text").alias("ids"))
     return ngram.fit_ngram(docs, alpha=alpha)
 
 
 def quality_model(spark: SparkSession, root: str, alpha: float = 1.0) -> ngram.NgramModel:
     good = t.table(spark, root, "labels").filter(F.col("quality") == 1).select("doc_id").distinct()
-    docs = t.table(spark, root, "documents").select("doc_id", "text").join(good, "doc_id", "left_semi")
+    docs = t.documents(spark, root, "text").join(good, "doc_id", "left_semi")
     return ngram.fit_ngram(docs.select(tx.byte_ids("text").alias("ids")), alpha=alpha)
 
 
 def policy_tables(spark: SparkSession, root: str) -> DataFrame:
-    """``[ctx, next, ref_logp, old_logp, new_logp]``: 65,536 rows, whatever the corpus size."""
-    ref = corpus_model(spark, root).dense("ref_logp")
-    counts = quality_model(spark, root).counts
-    old = ngram.NgramModel(counts, alpha=1.0).dense("old_logp")
-    new = ngram.NgramModel(counts, alpha=0.5).dense("new_logp")
-    return ref.join(old, ["ctx", "next"]).join(new, ["ctx", "next"])
+    """``[ctx, next, ref_logp, old_logp, new_logp]``: 65,536 rows, whatever the corpus size.
+
+    Reference = all documents, old and new policy = the good ones with two smoothing strengths. Both
+    counts come from one pass over the documents.
+    """
+    good = t.table(spark, root, "labels").filter(F.col("quality") == 1).select("doc_id").distinct()
+    docs = t.documents(spark, root, "text").join(good.withColumn("good", F.lit(True)), "doc_id", "left")
+    split = ngram.count_transitions(docs.select("good", tx.byte_ids("text").alias("ids")), "good")
+    both = split.groupBy("ctx", "next").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("good"), F.col("n"))), F.lit(0)).alias("g")
+    )
+    totals = both.groupBy("ctx").agg(F.sum("n").alias("n_total"), F.sum("g").alias("g_total"))
+    ref = ngram.NgramModel(both, alpha=1.0)
+    old, new = ngram.NgramModel(both, alpha=1.0), ngram.NgramModel(both, alpha=0.5)
+    grid = ngram.pair_grid(spark).join(both, ["ctx", "next"], "left").join(totals, "ctx", "left")
+    return grid.select(
+        "ctx",
+        "next",
+        ref.logp(F.col("n"), F.col("n_total")).alias("ref_logp"),
+        old.logp(F.col("g"), F.col("g_total")).alias("old_logp"),
+        new.logp(F.col("g"), F.col("g_total")).alias("new_logp"),
+    )
 
 
 def sequences(spark: SparkSession, root: str) -> DataFrame:

@@ -70,8 +70,8 @@ def lm_eval(spark, root):
     return ng.estimate_loss(scored, "split", "batch", "loss").select("split", r6("loss").alias("loss"), "n_batches")
 
 
-def pair_logps(spark, root, model, name):
-    """``[pair_id, <name>c, <name>r]``: response log-prob of the chosen and of the rejected side."""
+def pair_logps(spark, root):
+    """``[pair_id, pc, pr, rc, rr]``: response log-probs of both sides under the policy and the reference."""
     pairs = t.pref_pairs(spark, root)
     sides = pairs.select(
         "pair_id",
@@ -87,12 +87,15 @@ def pair_logps(spark, root, model, name):
     rows = built.select("pair_id", "side", "resp_mask", F.explode(ng.transitions("ids")).alias("t")).select(
         "pair_id", "side", F.get("resp_mask", F.col("t.pos")).alias("is_response"), F.col("t.ctx").alias("ctx"), F.col("t.next").alias("next")
     )
-    scored = ng.score_transitions(rows, model)
+    # the table has one row per byte pair, so its size does not depend on the data
+    scored = rows.join(F.broadcast(tr.policy_tables(spark, root)), ["ctx", "next"])
 
-    def side(s):
-        return F.sum(F.when(F.col("is_response") & (F.col("side") == s), F.col("logp")).otherwise(0.0)).alias(f"{name}{s}")
+    def side(logp, s, name):
+        return F.sum(F.when(F.col("is_response") & (F.col("side") == s), F.col(logp)).otherwise(0.0)).alias(name)
 
-    return scored.groupBy("pair_id").agg(side("c"), side("r"))
+    return scored.groupBy("pair_id").agg(
+        side("new_logp", "c", "pc"), side("new_logp", "r", "pr"), side("ref_logp", "c", "rc"), side("ref_logp", "r", "rr")
+    )
 
 
 def lm_seq_logp(spark, root):
@@ -132,7 +135,7 @@ def lm_generate_greedy(spark, root):
 
 
 def lm_ppl(spark, root):
-    docs = t.table(spark, root, "documents").select("lang", tx.byte_ids("text").alias("ids"))
+    docs = t.documents(spark, root, "lang", "text").select("lang", tx.byte_ids("text").alias("ids"))
     out = ng.cross_entropy(docs, tr.corpus_model(spark, root), "lang")
     return out.select("lang", r6("nll").alias("nll"), r6("ppl").alias("ppl"), big("n_tokens").alias("n_tokens"))
 

@@ -121,9 +121,7 @@ def po_grpo_seq(spark, root):
 
 
 def po_dpo(spark, root):
-    policy = pair_logps(spark, root, tr.quality_model(spark, root, 0.5), "p")
-    reference = pair_logps(spark, root, tr.corpus_model(spark, root), "r")
-    out = po.dpo_loss(policy.join(reference, "pair_id"), BETA)
+    out = po.dpo_loss(pair_logps(spark, root), BETA)
     return out.select(*[(r6(c) if c != "n" else F.col(c)).alias(c) for c in out.columns])
 
 

@@ -36,7 +36,7 @@ def log_route(spark, root):
     vectors = t.table(spark, root, "embeddings").select(
         F.col("vec_id").alias("id"), F.lit("vec").alias("key"), F.col("embedding").cast("array<double>").alias("values"), F.lit(None).cast("string").alias("text")
     )
-    long = t.table(spark, root, "documents").select(
+    long = t.documents(spark, root, "text").select(
         F.col("doc_id").alias("id"),
         F.lit("doc").alias("key"),
         F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: (i % 7).cast("double")).alias("values"),

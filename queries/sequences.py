@@ -24,7 +24,7 @@ BATCH = 16
 
 def stream_of(spark, root):
     """``(documents with ids and global start, total token count)``."""
-    docs = t.table(spark, root, "documents").select("doc_id", "text")
+    docs = t.documents(spark, root, "text")
     length = F.octet_length("text")
     at = sq.global_positions(docs, "doc_id", length)
     placed = docs.select("doc_id", tx.byte_ids("text").alias("ids")).join(at.select("doc_id", "start"), "doc_id")
@@ -32,7 +32,7 @@ def stream_of(spark, root):
 
 
 def seq_pos(spark, root):
-    docs = t.table(spark, root, "documents").select("doc_id", "text")
+    docs = t.documents(spark, root, "text")
     return sq.global_positions(docs, "doc_id", F.octet_length("text")).select("doc_id", "n_tokens", big("start").alias("start"))
 
 

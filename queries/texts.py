@@ -29,11 +29,11 @@ def txt_prompt_only(spark, root):
 
 
 def txt_norm(spark, root):
-    return t.table(spark, root, "documents").select("doc_id", tx.normalize("text").alias("text"))
+    return t.documents(spark, root, "text").select("doc_id", tx.normalize("text").alias("text"))
 
 
 def txt_words(spark, root):
-    docs = t.table(spark, root, "documents").select("doc_id", tx.words("text").alias("w"))
+    docs = t.documents(spark, root, "text").select("doc_id", tx.words("text").alias("w"))
     return docs.select(
         "doc_id",
         big(F.size("w")).alias("n_words"),

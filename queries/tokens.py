@@ -15,31 +15,31 @@ BPE_VOCAB = 300
 
 
 def tok_byte_enc(spark, root):
-    docs = tokens.byte_encode(t.table(spark, root, "documents").select("doc_id", "text"))
+    docs = tokens.byte_encode(t.documents(spark, root, "text"))
     return docs.select("doc_id", big(F.size("ids")).alias("n_tokens"), digest("ids").alias("ids_md5"))
 
 
 def tok_byte_dec(spark, root):
-    docs = tokens.byte_encode(t.table(spark, root, "documents").select("doc_id", "text"))
+    docs = tokens.byte_encode(t.documents(spark, root, "text"))
     return tokens.byte_decode(docs.select("doc_id", "ids")).select("doc_id", "text")
 
 
 def tok_roundtrip(spark, root):
-    docs = t.table(spark, root, "documents").select("doc_id", "text")
+    docs = t.documents(spark, root, "text")
     bad = tokens.roundtrip_failures(docs).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     return docs.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_failures", big(bad))
 
 
 def tok_pretok(spark, root):
-    return bpe.pretoken_counts(t.table(spark, root, "documents"))
+    return bpe.pretoken_counts(t.documents(spark, root, "text"))
 
 
 def tok_pretok_words(spark, root):
-    return bpe.pretoken_counts(t.table(spark, root, "documents"), pattern=WORD_RULE)
+    return bpe.pretoken_counts(t.documents(spark, root, "text"), pattern=WORD_RULE)
 
 
 def tok_bpe_pairs(spark, root):
-    words = bpe.pretoken_counts(t.table(spark, root, "documents"), pattern=WORD_RULE)
+    words = bpe.pretoken_counts(t.documents(spark, root, "text"), pattern=WORD_RULE)
     top = bpe.top_pairs(words.select(tx.latin_bytes("word").alias("w"), "n"), 50)
     return top.select(
         big(F.ascii(F.substring("pair", 1, 1))).alias("left_id"),
@@ -49,30 +49,30 @@ def tok_bpe_pairs(spark, root):
 
 
 def tok_bpe_train(spark, root):
-    _, merges = bpe.train_bpe(t.table(spark, root, "documents"), BPE_VOCAB)
+    _, merges = bpe.train_bpe(t.documents(spark, root, "text"), BPE_VOCAB)
     return merges
 
 
 def tok_bpe_enc(spark, root):
-    docs = t.table(spark, root, "documents").select("doc_id", "text")
+    docs = t.documents(spark, root, "text")
     _, merges = bpe.train_bpe(docs, BPE_VOCAB)
     return bpe.bpe_encode(docs, merges).select("doc_id", big(F.size("ids")).alias("n_tokens"), digest("ids").alias("ids_md5"))
 
 
 def tok_bpe_dec(spark, root):
-    docs = t.table(spark, root, "documents").select("doc_id", "text")
+    docs = t.documents(spark, root, "text")
     vocab, merges = bpe.train_bpe(docs, BPE_VOCAB)
     coded = bpe.bpe_encode(docs, merges).select("doc_id", "ids")
     return bpe.bpe_decode(coded, vocab).select("doc_id", "text")
 
 
 def tok_counts(spark, root):
-    docs = tokens.byte_encode(t.table(spark, root, "documents").select("text"))
+    docs = tokens.byte_encode(t.documents(spark, root, "text"))
     return tokens.token_counts(docs).select(big("token").alias("token"), "n")
 
 
 def tok_stats(spark, root):
-    docs = tokens.byte_encode(t.table(spark, root, "documents").select("lang", "text"))
+    docs = tokens.byte_encode(t.documents(spark, root, "lang", "text"))
     return tokens.token_stats(docs, "lang").withColumn("bytes_per_token", r6("bytes_per_token"))
 
 
