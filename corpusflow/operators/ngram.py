@@ -41,17 +41,20 @@ class NgramModel:
         return F.ln((n + self.alpha) / (total + self.alpha * self.vocab))
 
     def seen(self) -> DataFrame:
-        """``[ctx, next, n, logp]`` for observed pairs."""
-        joined = self.counts.join(self.totals(), "ctx")
-        return joined.select("ctx", "next", "n", self.logp(F.col("n"), F.col("total")).alias("logp"))
+        """``[ctx, next, n, logp]`` for observed pairs; a context has at most ``vocab`` of them."""
+        total = F.sum("n").over(Window.partitionBy("ctx"))
+        return self.counts.select("ctx", "next", "n", self.logp(F.col("n"), total).alias("logp"))
 
     def dense(self, logp: str = "logp") -> DataFrame:
-        """``[ctx, next, logp]`` for every pair of a bounded model (at most ``BOUNDED_ROWS`` rows)."""
+        """``[ctx, next, logp]`` for every pair of a bounded model (at most ``BOUNDED_ROWS`` rows).
+
+        The context total is a window over its ``vocab`` rows, so the counts are read once.
+        """
         if not self.bounded:
             raise ValueError("a dense table needs vocab ** order <= %d" % BOUNDED_ROWS)
-        grid = pair_grid(self.counts.sparkSession, self.vocab, self.order)
-        filled = grid.join(self.counts, ["ctx", "next"], "left").join(self.totals(), "ctx", "left")
-        return filled.select("ctx", "next", self.logp(F.col("n"), F.col("total")).alias(logp))
+        filled = pair_grid(self.counts.sparkSession, self.vocab, self.order).join(self.counts, ["ctx", "next"], "left")
+        total = F.sum("n").over(Window.partitionBy("ctx"))
+        return filled.select("ctx", "next", self.logp(F.col("n"), total).alias(logp))
 
 
 def pair_grid(spark: SparkSession, vocab: int = BYTE_VOCAB, order: int = 2) -> DataFrame:
@@ -100,7 +103,12 @@ def count_transitions(df: DataFrame, *keys: str, order: int = 2, vocab: int = BY
 
 
 def fit_ngram(df: DataFrame, order: int = 2, alpha: float = 1.0, vocab: int = BYTE_VOCAB) -> NgramModel:
-    return NgramModel(count_transitions(df, order=order, vocab=vocab), order, vocab, alpha)
+    """Counts of a corpus with an ``ids`` column. Those of an unbounded model are written once,
+    because scoring reads them several times."""
+    counts = count_transitions(df, order=order, vocab=vocab)
+    if vocab**order > BOUNDED_ROWS:
+        counts = cut_lineage(counts)
+    return NgramModel(counts, order, vocab, alpha)
 
 
 def score_transitions(rows: DataFrame, model: NgramModel, out: str = "logp", salt_by: tuple[str, ...] = ()) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..operators import ngram
@@ -33,10 +34,15 @@ def policy_tables(spark: SparkSession, root: str) -> DataFrame:
     both = split.groupBy("ctx", "next").agg(
         F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("good"), F.col("n"))), F.lit(0)).alias("g")
     )
-    totals = both.groupBy("ctx").agg(F.sum("n").alias("n_total"), F.sum("g").alias("g_total"))
     ref = ngram.NgramModel(both, alpha=1.0)
     old, new = ngram.NgramModel(both, alpha=1.0), ngram.NgramModel(both, alpha=0.5)
-    grid = ngram.pair_grid(spark).join(both, ["ctx", "next"], "left").join(totals, "ctx", "left")
+    ctx = Window.partitionBy("ctx")  # 256 rows each
+    grid = (
+        ngram.pair_grid(spark)
+        .join(both, ["ctx", "next"], "left")
+        .withColumn("n_total", F.sum("n").over(ctx))
+        .withColumn("g_total", F.sum("g").over(ctx))
+    )
     return grid.select(
         "ctx",
         "next",
