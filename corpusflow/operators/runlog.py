@@ -48,7 +48,8 @@ def throughput(df: DataFrame, run: str, step: str, micros: str, tokens: str) ->
         df, step, {"prev": ("max", F.struct(step, micros))}, [run], [micros, tokens], inclusive=False
     )
     seconds = (F.col(micros) - F.col(f"prev.{micros}")) / F.lit(1e6)
-    return last.select(run, step, (F.col(tokens) / F.greatest(seconds, F.lit(1e-6))).alias("tokens_per_s"))
+    rate = F.when(seconds.isNotNull(), F.col(tokens) / F.greatest(seconds, F.lit(1e-6)))
+    return last.select(run, step, rate.alias("tokens_per_s"))
 
 
 def metric_kind(key: Column, values: Column) -> Column:

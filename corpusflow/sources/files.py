@@ -27,12 +27,11 @@ def read_corpus(spark: SparkSession, path: str, whole: bool = False) -> DataFram
     ``whole=True`` gives one row per file for folders of documents.
     """
     _require(spark, path)
-    reader = spark.read.option("wholetext", str(whole).lower()).option("recursiveFileLookup", "true")
-    if not whole:
-        reader = reader.option("lineSep", "\n")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if not os.path.splitext(path)[1]:
         reader = reader.option("pathGlobFilter", "*.txt")
-    return reader.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    rows = reader.text(path, wholetext=True) if whole else reader.text(path, lineSep="\n")
+    return rows.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
 def read_bytes(spark: SparkSession, path: str) -> DataFrame:

@@ -83,10 +83,11 @@ def rolling_buffer(stream: DataFrame, key: str, seq: str, value: str, window: in
 
     def update(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         arrivals, seqs, values = state.get if state.exists else (0, [], [])
-        buffer = pd.DataFrame({key: k[0], seq: list(seqs), value: list(values)})
+        held = [pd.DataFrame({key: k[0], seq: list(seqs), value: list(values)})] if seqs else []
         for frame in frames:
             arrivals += int(frame["n"].sum())
-            buffer = _crop(pd.concat([buffer, frame[[key, seq, value]]]), key, seq, window, sink)
+            held = [_crop(pd.concat([*held, frame[[key, seq, value]]]), key, seq, window, sink)]
+        buffer = held[0]
         seqs, values = buffer[seq].tolist(), buffer[value].tolist()
         state.update((arrivals, seqs, values))
         yield pd.DataFrame({key: [k[0]], "arrivals": [arrivals], "seqs": [seqs], "values": [values]})

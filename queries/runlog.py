@@ -74,7 +74,8 @@ from (select *, {_BEST_BEFORE} as best_before from run_log where split = 'val')"
     "log_retain": with_(RUN_LOG)
     + f"select run, step, event_id from (select *, row_number() over (partition by run order by step desc) as r from run_log) where r <= {KEEP}",
     "log_rate": with_(RUN_LOG)
-    + f"""select run, step, {s_r6('tokens / greatest((micros - lag(micros) over (partition by run order by step)) / 1e6::double, 1e-6::double)')} as tokens_per_s from run_log""",
+    + f"""select run, step, case when prev is not null then {s_r6('tokens / greatest((micros - prev) / 1e6::double, 1e-6::double)')} end as tokens_per_s
+from (select *, lag(micros) over (partition by run order by step) as prev from run_log)""",
     "log_route": f"""select vec_id as id, 'vec' as tag, 'histogram' as kind, null::double as value, null::varchar as text from embeddings
 union all select doc_id, 'doc', 'scalar', (1 % 7)::double, null from documents where length(text) = 1
 union all select doc_id, 'doc', 'histogram', null, null from documents where length(text) <> 1 and length(text) <= 2048

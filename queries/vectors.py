@@ -14,6 +14,7 @@ from .kit import SFT_ITEMS, big, r6, s_bytes, s_r6, with_
 TOP = 3
 BLOCK, WINDOW, SINK = 32, 16, 2
 HEADS, KV_HEADS = 4, 2
+MIN_LEN = 64
 
 
 def _emb(spark, root):
@@ -78,7 +79,7 @@ def vec_combine(spark, root):
 def vec_pool(spark, root):
     """Token vectors are rows of the embeddings table by id; the pad positions are left out of the mean."""
     items = t.sft_items(spark, root).select("pair_id", tx.byte_ids("response").alias("ids"))
-    tokens = items.select("pair_id", F.posexplode(ar.pad_to("ids", 64, ar.PAD_ID)).alias("pos", "token"), F.size("ids").alias("len"))
+    tokens = items.select("pair_id", F.posexplode(ar.pad_to("ids", F.greatest(F.size("ids"), F.lit(MIN_LEN)), ar.PAD_ID)).alias("pos", "token"), F.size("ids").alias("len"))
     table = _emb(spark, root).filter(F.col("vec_id") < 256).select(F.col("vec_id").cast("int").alias("token"), "embedding")
     # the vocabulary of byte tokens bounds this table
     rows = tokens.join(F.broadcast(table), "token")
@@ -165,7 +166,7 @@ from (select *, avg(x) over (partition by vec_id) as m from el)""",
 from rt join el on el.vec_id = rt.vec_id join cent c on c.label = rt.expert and c.dim = el.dim where slot < {TOP} group by el.vec_id, el.dim""",
     "vec_pool": with_(SFT_ITEMS, _LONG)
     + f"""select pair_id, dim, {s_r6('avg(x)')} as mean
-from (select pair_id, ids[i] as token from (select pair_id, ids, unnest(range(1, least(len(ids), 64) + 1)) as i
+from (select pair_id, ids[i] as token from (select pair_id, ids, unnest(range(1, len(ids) + 1)) as i
       from (select pair_id, {s_bytes('response')} as ids from sft_items))) s join el on el.vec_id = s.token group by pair_id, dim""",
     "vec_attend": _attend_sql(_SAME_BLOCK),
     "vec_attend_heads": _attend_sql(_SAME_BLOCK, HEADS, KV_HEADS),
