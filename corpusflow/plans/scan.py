@@ -59,7 +59,9 @@ def prefix_scan(
 
     low = aggregate(rows, [*group, "_low"]).withColumn("_mid", F.shiftright("_low", DIGIT))
     mid = aggregate(low, [*group, "_mid"])
-    root = Window.partitionBy(*group, F.shiftright("_mid", DIGIT)).orderBy("_mid")
+    # always 0: the middle digit of a signed 64-bit key has 22 bits
+    top = F.shiftright(F.col("_mid") + (1 << DIGIT), DIGIT + 1)
+    root = Window.partitionBy(*group, top).orderBy("_mid")
     mid_off = mid.select(*group, "_mid", *over(before(root)))
     mid_off = mid_off.toDF(*group, "_mid", *[f"_m_{n}" for n in names])
 

@@ -25,6 +25,7 @@ def _rows(n, seed, wide):
 @pytest.mark.parametrize("inclusive", [False, True])
 def test_prefix_scan_matches_brute_force(spark, wide, inclusive):
     rows = _rows(400, 3, wide) + [("b", 2**21 * i, i) for i in range(1, 40)] + [("b", 2**42 * i + 1, -i) for i in range(1, 40)]
+    rows += [("a", -(2**21) * i - 3, i) for i in range(1, 20)] + [("a", -(2**42) * i, i) for i in range(1, 20)] + [("a", -(2**63), 1)]
     df = spark.createDataFrame(rows, "g string, k bigint, v bigint")
     aggs = {"s": ("sum", F.col("v")), "lo": ("min", F.col("v")), "last": ("max", F.struct("k", "v")), "c": ("count", F.lit(1))}
     got = {(r["g"], r["k"]): r for r in scan.prefix_scan(df, "k", aggs, ["g"], ["v"], inclusive).collect()}

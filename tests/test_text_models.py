@@ -19,14 +19,14 @@ ROOT = "/root/testdata/sf0.001"
 def test_broken_bytes_decode_like_errors_ignore(spark):
     rng = random.Random(5)
     pool = [b"a", "é".encode(), "�".encode(), "🚀".encode(), b"\xf0\x9f", b"\xc3", b"\x80", b"\xef\xbf", b"\xff", b"\x00"]
-    cases = [b"", b"Hello, ByteTok! \xf0\x9f\x9a\x80"] + [b"".join(rng.choices(pool, k=rng.randint(1, 8))) for _ in range(300)]
+    cases = [b"", b"Hello, bytes! \xf0\x9f\x9a\x80"] + [b"".join(rng.choices(pool, k=rng.randint(1, 8))) for _ in range(300)]
     df = spark.createDataFrame([(i, list(c)) for i, c in enumerate(cases)], "i int, ids array<int>")
     got = {r["i"]: r["t"] for r in df.select("i", tx.byte_text("ids").alias("t")).collect()}
     assert [got[i] for i in range(len(cases))] == [c.decode("utf-8", "ignore") for c in cases]
 
 
 def test_strip_and_encode_like_python(spark):
-    texts = ["", " \n\t a b \x0b\x0c\r", "  x　", "\x1c\x85y \n", "​z", None, "Hello, ByteTok! 🚀"]
+    texts = ["", " \n\t a b \x0b\x0c\r", "  x　", "\x1c\x85y \n", "​z", None, "Hello, bytes! 🚀"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
     got = df.select(tx.strip("t").alias("s"), tx.byte_ids("t").alias("b"), tx.byte_text(tx.byte_ids("t")).alias("r")).collect()
     for text, row in zip(texts, got):
