@@ -131,14 +131,5 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def binary_rows(matrix: np.ndarray) -> pa.Array:
-    """One fixed number of bytes per row as a BINARY column."""
-    matrix = np.ascontiguousarray(matrix)
-    n = matrix.shape[0]
-    width = matrix.nbytes // n if n else 0
-    offsets = np.arange(0, (n + 1) * width, width or 1, dtype=np.int32)[: n + 1] if n else np.zeros(1, np.int32)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(matrix.tobytes())])
-
-
 def list_rows(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))

@@ -8,10 +8,10 @@ one cell are neighbours in one table, so a signature is a minimum over slices of
    Documents with equal sets are one node from here on; copies are never paired.
 2. Bands of signature coordinates give buckets. Each node of a bucket is compared with the bucket's smallest node, links
    are verified on the full sets, and linked nodes are merged.
-3. A bucket whose nodes are all in one component needs nothing more. In the others, only nodes of different components can
-   still matter: they are compared in square blocks of bounded size, best estimate of a component pair first;
-   pairs whose components have met by another link are skipped, all others are verified. No link between
-   components is lost, whatever the size of a bucket.
+3. A bucket whose nodes are all in one component needs nothing more. In the others only nodes of different components can
+   still matter: their groups are compared in square blocks of bounded size, where a pair whose components have met by
+   another link is skipped and every other is verified, best estimates first. No link between components is lost,
+   whatever the size of a bucket, and a task returns fewer links than it has nodes.
 
 Candidates are pairs that share a band; a pair at the threshold shares none with a chance of ``MISS`` at most. Pairs whose
 signatures agree in 5.5 standard deviations fewer coordinates than the threshold asks for are not verified.
@@ -32,15 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut_lineage
-from .common import binary_rows, mix, raw_text, shingles, shuffle_width, slices, words
+from .common import mix, shingles, slices, words
 from .graph import components
 
 WORDS = 5
 COORDINATES = 256
 UNIVERSE_BITS = 22
 MISS = 1e-8
-BLOCK = 1024
-ROUNDS = 4
+BLOCK = 512
+SEND_ROWS = 500_000
 
 _TABLE: dict[int, np.ndarray] = {}
 
@@ -192,40 +192,54 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int, size: int = WORDS)
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def _cross_pairs(active: DataFrame, roots: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """Pairs of nodes of different components that share a band, by square blocks of ``BLOCK`` nodes.
+def _open_groups(active: DataFrame, roots: DataFrame) -> DataFrame:
+    """``[group, node, root, i, j]``: what may still be linked, dealt into square blocks of two slices of ``BLOCK`` nodes.
 
-    A bucket of ``m`` nodes is cut into ``m / BLOCK`` slices and a task sees two of them, so memory is bounded.
+    Buckets whose nodes have one root are done. The others tie roots into groups; a node is sent once to a group of
+    up to ``BLOCK`` nodes, and to as many blocks as the group has slices beyond that, so a task is bounded for any group.
     """
     rooted = active.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-    mixed = mixed.filter("lo <> hi").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("cuts"))
-    rows = rooted.join(mixed, "band").join(nodes.select("node", "sig"), "node")
-    rows = rows.withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "lo")
+    members = cut_lineage(rooted.join(mixed, "band").select("node", "root", "lo").distinct())
+    groups = components(members.select(F.col("lo").alias("a"), F.col("root").alias("b"))).toDF("root", "group")
+    rows = members.select("node", "root").distinct().join(groups, "root")
+    sizes = rows.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cuts"))
+    rows = rows.join(sizes, "group").withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rows = rows.withColumns({"i": F.least("cut", "other"), "j": F.greatest("cut", "other")})
+    return rows.select("group", "node", "root", "cut", F.least("cut", "other").alias("i"), F.greatest("cut", "other").alias("j"))
+
+
+def _block_links(blocks: DataFrame, nodes: DataFrame, texts: DataFrame, least: int, percent: int, size: int) -> DataFrame:
+    """Links ``[a, b]`` between nodes of different roots: a forest of each block, so fewer links than nodes."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node")
         node, root = frame["node"].to_numpy(object), pd.factorize(frame["root"])[0]
         sig = np.stack([np.frombuffer(s, np.uint16) for s in frame["sig"]])
+        sets = list(document_sets(pa.array(frame["text"], pa.string()), size))
+        sizes = np.array([len(s) for s in sets])
         cut, own = frame["cut"].to_numpy(), frame["i"].iloc[0] == frame["j"].iloc[0]
-        found = []
+        place, found = np.arange(len(node)), []
         for p in range(len(node)):
-            right = np.flatnonzero((root != root[p]) & ((np.arange(len(node)) > p) if own else (cut > cut[p])))
-            for at in range(0, len(right), 512):
-                some = right[at : at + 512]
-                same = (sig[some] == sig[p]).sum(axis=1)
-                hit = some[same >= least]
-                if len(hit):
-                    found.append((np.full(len(hit), p), hit, same[same >= least]))
-        if not found:
-            return pd.DataFrame({"a": [], "b": [], "est": []})
-        p, q, same = (np.concatenate(x) for x in zip(*found))
-        return pd.DataFrame({"a": node[p], "b": node[q], "est": same.astype(np.int32)})
-
-    out = rows.groupBy("band", "i", "j").applyInPandas(run, "a binary, b binary, est int")
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "est").distinct()
+            others = np.flatnonzero((root != root[p]) & ((place > p) if own else (cut > cut[p])))
+            others = others[100 * np.minimum(sizes[others], sizes[p]) >= percent * np.maximum(sizes[others], sizes[p])]
+            if not len(others):
+                continue
+            same = (sig[others] == sig[p]).sum(axis=1)
+            for k in np.argsort(-same, kind="stable"):
+                q = others[k]
+                if same[k] < least:
+                    break
+                if root[q] == root[p]:
+                    continue  # met through another node
+                shared = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
+                if 100 * shared >= percent * (sizes[p] + sizes[q] - shared):
+                    found.append((node[p], node[q]))
+                    root[root == root[q]] = root[p]
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    rows = blocks.join(nodes.select("node", "sig"), "node").join(texts, "node")
+    return rows.groupBy("group", "i", "j").applyInPandas(run, "a binary, b binary")
 
 
 def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, coordinates: int = COORDINATES) -> DataFrame:
@@ -243,29 +257,15 @@ def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_colu
 
     # texts of nodes that share a bucket, one per node
     involved = active.select("node").distinct()
-    holders = sketch.join(involved, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    holders = cut_lineage(sketch.join(involved, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     whole = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     texts = _texts(whole, holders, size)
 
     links = cut_lineage(verify(_agreeing(stars, nodes, least), texts, percent, size))
     roots = components(links)
-    pairs = cut_lineage(_cross_pairs(active.select("band", "node"), roots, nodes, least).join(links, ["a", "b"], "left_anti"))
-    for turn in range(ROUNDS + 1):
-        pairs = _between(pairs, roots)
-        if turn < ROUNDS:
-            # the best estimate between two components first; most of the others are then inside one
-            order = F.struct("est", "a", "b")
-            best = pairs.groupBy("ra", "rb").agg(F.max(order).alias("p")).select("p.a", "p.b")
-        else:
-            best = pairs.select("a", "b")
-        best = cut_lineage(best)
-        if best.isEmpty():
-            break
-        fresh = cut_lineage(verify(best, texts, percent, size))
-        pairs = cut_lineage(pairs.select("a", "b", "est").join(best, ["a", "b"], "left_anti"))
-        links = links.unionByName(fresh)
-        if not fresh.isEmpty():
-            roots = components(links)
+    blocks = _open_groups(active.select("band", "node"), roots)
+    links = links.unionByName(cut_lineage(_block_links(blocks, nodes, texts, least, percent, size)))
+    roots = components(links)
 
     grouped = nodes.select("node", "first_id").join(roots, "node")
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
@@ -277,15 +277,6 @@ def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_colu
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are still in different components, with those components."""
-    out = pairs.select("a", "b", "est")
-    for end in ("a", "b"):
-        out = out.join(roots.toDF(end, f"r_{end}"), end, "left").withColumn(f"r_{end}", F.coalesce(f"r_{end}", end))
-    out = out.filter(F.col("r_a") != F.col("r_b"))
-    return out.select("a", "b", "est", F.least("r_a", "r_b").alias("ra"), F.greatest("r_a", "r_b").alias("rb"))
-
-
 def _texts(whole: DataFrame, holders: DataFrame, size: int) -> DataFrame:
     """``[node, text]`` of one document of each node; written once, as several rounds read it."""
 
@@ -296,6 +287,8 @@ def _texts(whole: DataFrame, holders: DataFrame, size: int) -> DataFrame:
                 found = [bool(len(f)) and set_digest(f) == n for f, n in zip(document_sets(part.column("text"), size), nodes)]
                 yield part.filter(pa.array(found, pa.bool_()))
 
+    if holders.count() <= SEND_ROWS:  # 16 MB of ids; more of them meet the texts in a shuffle
+        holders = F.broadcast(holders)
     held = whole.join(holders, whole["doc_id"].eqNullSafe(holders["doc_id"])).select("node", "text")
     held = held.mapInArrow(same_set, "node binary, text string")
     return cut_lineage(held.groupBy("node").agg(F.min("text").alias("text")))
