@@ -46,9 +46,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 # --- Arrow text ---------------------------------------------------------------
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Row ranges of a batch whose texts stay near ``limit`` bytes; one longer text comes alone."""
-    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+def carried(docs: DataFrame, text_column: str) -> tuple[DataFrame, int, str]:
+    """Whole rows as one struct ``_row``, the place of the text in it, and its type; no name can clash in there."""
+    rows = docs.select(F.struct("*").alias("_row"))
+    return rows, docs.columns.index(text_column), rows.schema["_row"].dataType.simpleString()
+
+
+def text_in(batch: pa.RecordBatch, at: int) -> pa.Array:
+    return pc.struct_field(batch.column("_row"), [at])
+
+
+def slices(batch: pa.RecordBatch, column: str | int, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Row ranges of a batch whose texts stay near ``limit`` bytes; one longer text comes alone.
+
+    A number instead of a name is the place of the text in ``_row``.
+    """
+    texts = text_in(batch, column) if isinstance(column, int) else batch.column(column)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if i > start and held + size > limit:
@@ -119,6 +133,29 @@ def words(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return run_hashes(data, begins, ends), np.searchsorted(begins, at)
 
 
+class Memo:
+    """Sorted hashes with a row number each: what a worker has met, in 16 bytes an entry."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(0, _U)
+        self.rows = np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Row of each hash, -1 where it is new."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.rows[at], -1)
+
+    def add(self, hashes: np.ndarray, rows: np.ndarray) -> None:
+        """Sorted new hashes and their rows."""
+        at = np.searchsorted(self.keys, hashes)
+        self.keys, self.rows = np.insert(self.keys, at, hashes), np.insert(self.rows, at, rows)
+
+
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words of one text; of the whole text when it has fewer."""
     n = len(hashes)

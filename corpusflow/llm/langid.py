@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import raw_text, slices
+from .common import carried, raw_text, slices, text_in
 
 SPAN = 96
 HIDDEN = 12
@@ -187,12 +187,13 @@ def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column:
 def predict(docs: DataFrame, network: Network | None, text_column: str = "text") -> DataFrame:
     """``[_row, lang_pred, score]`` for every row."""
     sent = docs.sparkSession.sparkContext.broadcast(network)  # a few thousand weights
+    rows, place, kind = carried(docs, text_column)
 
     def run(batches):
         model = sent.value
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
-                texts = part.column("_text")
+            for part in slices(batch, place, 1 << 20):
+                texts = text_in(part, place)
                 lettered = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool)
                 if model is None:
                     langs, scores = ["und"] * len(texts), np.zeros(len(texts))
@@ -203,5 +204,4 @@ def predict(docs: DataFrame, network: Network | None, text_column: str = "text")
                     scores = np.where(lettered, np.clip(pooled[np.arange(len(best)), best], 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["_row", "lang_pred", "score"])
 
-    rows = docs.select(F.struct("*").alias("_row"), F.col(text_column).alias("_text"))
-    return rows.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(run, f"_row {kind}, lang_pred string, score double")

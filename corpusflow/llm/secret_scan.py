@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut_lineage
-from .common import slices
+from .common import carried, slices, text_in
 
 KINDS = ("assign", "access", "hex", "random")
 RUN = 20
@@ -132,6 +132,7 @@ def fit(labelled: DataFrame) -> np.ndarray:
 
 def scan(docs: DataFrame, ratios: np.ndarray, text_column: str = "text") -> DataFrame:
     """``[_row, spans]`` for every row: base spans and those the models add, in order."""
+    rows, place, row_kind = carried(docs, text_column)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
     def spans_of(text: str) -> list[dict]:
@@ -141,12 +142,11 @@ def scan(docs: DataFrame, ratios: np.ndarray, text_column: str = "text") -> Data
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
-                found = [spans_of(t or "") for t in part.column("_text").to_pylist()]
+            for part in slices(batch, place):
+                found = [spans_of(t or "") for t in text_in(part, place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(found, kind)], ["_row", "spans"])
 
-    rows = docs.select(F.struct("*").alias("_row"), F.col(text_column).alias("_text"))
-    return rows.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, spans {SPAN}")
+    return rows.mapInArrow(run, f"_row {row_kind}, spans {SPAN}")
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> np.ndarray:

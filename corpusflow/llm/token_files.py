@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 
 from ..plans.scan import prefix_scan
 from ..plans.storage import scratch_path
-from .common import list_rows, raw_text, run_hashes, slices, word_bounds
+from .common import Memo, list_rows, raw_text, run_hashes, slices, word_bounds
 
 END = 2
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-MEMO = 500_000
+MEMO = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -52,12 +52,12 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.memo: dict[int, int] = {}
+        self.memo = Memo()
         self.pool = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 14, np.int64)
         self.count = 0
 
-    def _learn(self, names: list[str]) -> range:
+    def _learn(self, names: list[str]) -> np.ndarray:
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
         lengths = [len(ids) for ids in encoded]
         base, total = int(self.ends[self.count - 1]) if self.count else 0, sum(lengths)
@@ -68,7 +68,7 @@ class Encoder:
         self.pool[base : base + total] = [i for ids in encoded for i in ids]
         self.ends[self.count : self.count + len(names)] = base + np.cumsum(lengths)
         self.count += len(names)
-        return range(self.count - len(names), self.count)
+        return np.arange(self.count - len(names), self.count)
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each followed by ``end``, and the offsets of each."""
@@ -79,15 +79,14 @@ class Encoder:
             return np.full(len(texts), end, np.int32), np.arange(len(texts) + 1)
         begins, ends = word_bounds(data, at)
         distinct, where, codes = np.unique(run_hashes(data, begins, ends), return_index=True, return_inverse=True)
-        known = [self.memo.get(h) for h in distinct.tolist()]
-        fresh = [k for k, row in enumerate(known) if row is None]
-        if fresh:
+        known = self.memo.find(distinct)
+        fresh = np.flatnonzero(known < 0)
+        if len(fresh):
             raw = data.tobytes()
             names = [raw[b:e].decode() for b, e in zip(begins[where[fresh]].tolist(), ends[where[fresh]].tolist())]
-            for k, row in zip(fresh, self._learn(names)):
-                known[k] = row
-                self.memo[int(distinct[k])] = row
-        rows = np.array(known, np.int64)[codes]
+            known[fresh] = self._learn(names)
+            self.memo.add(distinct[fresh], known[fresh])
+        rows = known[codes]
         first = np.where(rows > 0, self.ends[rows - 1], 0)
         lengths = self.ends[rows] - first
         # ids of each text, then room for its end id

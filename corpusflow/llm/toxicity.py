@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut_lineage
-from .common import fold
+from .common import carried, fold, text_in
 
 CELLS_LOG2 = 20
 ORDERS = (3, 4, 5)
@@ -154,16 +154,16 @@ def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
     """``[_row, score]``: every input row as a struct with its score between 0 and 1."""
     sent = docs.sparkSession.sparkContext.broadcast(model.weights)  # 4 MB
     base, known = model.base, model.known
+    rows, at, kind = carried(docs, text_column)
 
     def run(batches):
         features = Features()
         for batch in batches:
-            sums = [float(sent.value[features.cells(t.as_py())].sum(dtype=np.float64)) for t in batch.column("_text")]
+            sums = [float(sent.value[features.cells(t.as_py())].sum(dtype=np.float64)) for t in text_in(batch, at)]
             scores = 1 / (1 + np.exp(-np.clip(np.array(sums) + base, -30, 30))) if known else np.zeros(len(sums))
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(scores, pa.float64())], ["_row", "score"])
 
-    rows = docs.select(F.struct("*").alias("_row"), F.col(text_column).alias("_text"))
-    return rows.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(run, f"_row {kind}, score double")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:

@@ -103,11 +103,11 @@ def test_block_search_equals_single_search(lattice):
     names = sorted({" " * rng.randint(0, 3) + "".join(rng.choice("abcdeiénst▁🚀\n") for _ in range(rng.randint(1, 30))) for _ in range(300)})
     names = [n for n in names if n.strip(" ")]
     fresh = pieces.Lattice(pieces.default_model())
-    fresh.learn(names)
-    for row, name in enumerate(fresh.names):
+    for row, name in zip(fresh.learn(names), names):
         best = fresh.backward(name, 2)
         assert abs(fresh.scores[row] - best[0][0]) < 1e-6
-        assert abs(fresh.gaps[row] - (best[0][0] - best[1][0] if len(best) > 1 else np.inf)) < 1e-6 or len(best) == 1
+        assert len(best) == 1 and np.isinf(fresh.gaps[row]) or abs(fresh.gaps[row] - (best[0][0] - best[1][0])) < 1e-6
+        assert fresh.name(int(row)) == name
         ids = fresh._ids(np.array([row]))[0]
         assert b"".join(fresh.bytes_of[i] for i in ids) == name.encode()
 
