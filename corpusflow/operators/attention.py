@@ -1,9 +1,9 @@
 """Similarity-weighted averages over a row's own history, per group.
 
-History is bounded, as a context length bounds it: by a block of fixed size, or
-by a window plus the first few rows. Groups are cut into blocks of that size, so a
-task never holds more than a few hundred vectors of one group, and no table of row
-pairs is ever written.
+History is the whole group up to a row, or what a context length leaves of it: a block of
+fixed size, or a window plus the first few rows. Groups are cut into blocks, a task holds two
+blocks of one group, and no table of row pairs is ever written. The whole history is a running
+softmax: each pair of blocks gives maxima, weights and weighted sums, which are then merged exactly.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from ..functions.arrays import doubles
 from ..plans.scan import ordinal
 
 
+TILE = 64
+
+
 def _matrix(table: pa.Table, name: str) -> np.ndarray:
     column = table.column(name).combine_chunks()
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
@@ -39,16 +43,18 @@ def causal_attend(
     v: str,
     heads: int = 1,
     kv_heads: int | None = None,
-    block: int = 64,
+    block: int | None = None,
     window: int | None = None,
     sink: int = 0,
 ) -> DataFrame:
     """``[key, pos, y ARRAY]``: softmax(q.k / sqrt(d)) average of ``v`` over earlier rows and the row itself.
 
-    Without ``window`` a row sees the rows of its block up to itself. With it, a row at ``i`` sees
-    positions ``> i - window`` and the group's first ``sink`` positions.
+    A row sees all rows of its group up to itself; with ``block`` (a context size) only those of its block. With
+    ``window``, a row at ``i`` sees positions ``> i - window`` and the group's first ``sink`` positions.
     """
     kv_heads = kv_heads or heads
+    if window is None and block is None:
+        return _attend_all(df, group, key, q, k, v, heads, kv_heads)
     size = window or block
     key_type = df.schema[key].dataType.simpleString()
     rows = df.join(ordinal(df, key, [group], name="pos"), [group, key]).select(
@@ -60,10 +66,10 @@ def causal_attend(
         rows_out = rows.unionByName(after)
         if sink:
             first = rows.filter(F.col("pos") < sink)
-            last = rows.groupBy(group).agg(F.max("block").alias("_last"))
-            # every later block of the group needs the first rows: sink / size copies per row overall
-            spread = first.join(last, group).filter(F.col("block") + 2 <= F.col("_last"))
-            spread = spread.withColumn("block", F.explode(F.sequence(F.col("block") + 2, F.col("_last")))).drop("_last")
+            # every later block of the group needs the first rows: the list of blocks meets them
+            blocks = rows.select(group, F.col("block").alias("_at")).distinct()
+            spread = blocks.join(first, group).filter(F.col("block") + 2 <= F.col("_at"))
+            spread = spread.withColumn("block", F.col("_at")).drop("_at")
             rows_out = rows_out.unionByName(spread.withColumn("own", F.lit(False)))
         rows = rows_out
 
@@ -98,6 +104,52 @@ def causal_attend(
     return rows.groupBy(group, "block").applyInArrow(attend, f"{key} {key_type}, pos bigint, y array<double>")
 
 
+def _attend_all(df: DataFrame, group: str, key: str, q: str, k: str, v: str, heads: int, kv_heads: int) -> DataFrame:
+    """Whole history: queries of block ``i`` meet keys of every block ``j <= i``, partial results are merged per row."""
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.join(ordinal(df, key, [group], name="pos"), [group, key]).select(
+        group, key, "pos", F.floor(F.col("pos") / TILE).alias("block"), doubles(q).alias("q"), doubles(k).alias("k"), doubles(v).alias("v")
+    )
+    last = rows.groupBy(group).agg(F.max("block").alias("_last"))
+    own = rows.select(group, key, "pos", F.col("block").alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), "block")).alias("j"), "q")
+    seen = rows.join(last, group).select(group, "pos", F.explode(F.sequence("block", "_last")).alias("i"), F.col("block").alias("j"), "k", "v")
+    tiles = own.unionByName(seen, allowMissingColumns=True)
+    share = heads // kv_heads
+
+    def partial(table: pa.Table) -> pa.Table:
+        mine = table.filter(pa.compute.is_valid(table.column("q")))
+        other = table.filter(pa.compute.is_valid(table.column("k")))
+        qs, ks, vs = _matrix(mine, "q"), _matrix(other, "k"), _matrix(other, "v")
+        dq, dk, dv = qs.shape[1] // heads, ks.shape[1] // kv_heads, vs.shape[1] // kv_heads
+        visible = np.asarray(other.column("pos"))[None, :] <= np.asarray(mine.column("pos"))[:, None]
+        out = []
+        for h in range(heads):
+            s = h // share
+            scores = np.where(visible, qs[:, h * dq : (h + 1) * dq] @ ks[:, s * dk : (s + 1) * dk].T / np.sqrt(dq), -np.inf)
+            top = scores.max(axis=1)
+            weights = np.exp(scores - top[:, None])
+            out.append(np.column_stack([top, weights.sum(axis=1), weights @ vs[:, s * dv : (s + 1) * dv]]))
+        flat = np.hstack(out)
+        offsets = np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32)
+        return pa.table({key: mine.column(key), "pos": mine.column("pos"), "part": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))})
+
+    parts = tiles.groupBy(group, "i", "j").applyInArrow(partial, f"{key} {kind}, pos bigint, part array<double>")
+    # one array per block of the history and row
+    gathered = parts.groupBy(key, "pos").agg(F.collect_list("part").alias("parts"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for parts_of in batch.column("parts").to_pylist():
+                per_head = np.array(sorted(parts_of)).reshape(len(parts_of), heads, -1)
+                scale = np.exp(per_head[:, :, :1] - per_head[:, :, :1].max(axis=0))
+                summed = (per_head[:, :, 1:] * scale).sum(axis=0)
+                out.append((summed[:, 1:] / summed[:, :1]).ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("pos"), pa.array(out, pa.list_(pa.float64()))], [key, "pos", "y"])
+
+    return gathered.mapInArrow(merge, f"{key} {kind}, pos bigint, y array<double>")
+
+
 def masked_pair_count(length: int) -> int:
     """Number of future positions a causal mask hides for one sequence."""
     return length * (length - 1) // 2

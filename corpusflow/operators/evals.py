@@ -15,12 +15,12 @@ MISSING_LOW, MISSING_HIGH = -999.0, 999.0
 
 
 def token_f1(df: DataFrame, key: str, pred: str, gold: str) -> DataFrame:
-    """Multiset-overlap F1 of normalised words: ``[key, overlap, n_pred, n_gold, f1]``.
+    """Multiset-overlap F1 of normalised words: ``[key, overlap, n_pred, n_gold, f1]``. A null text has no words.
 
     Rows are placed by key while they are still whole texts; both counts below then reuse
     that placement, so the exploded words never cross the network.
     """
-    placed = df.select(key, pred, gold).repartition(key)
+    placed = df.select(key, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in (pred, gold)]).repartition(key)
     tagged = placed.select(
         key,
         F.explode_outer(
@@ -48,15 +48,13 @@ def exact_match(df: DataFrame, key: str, pred: str, gold: str) -> DataFrame:
     return df.select(key, (tx.normalize(pred) == tx.normalize(gold)).alias("exact"))
 
 
-def comparison_table(results: DataFrame, order: str | None = None) -> DataFrame:
-    """``[prompt, sft, ppo, grpo, dpo]`` for every prompt with an sft row; the last duplicate wins.
+def comparison_table(results: DataFrame, order: str) -> DataFrame:
+    """``[prompt, sft, ppo, grpo, dpo]`` for every prompt with an sft row; the last duplicate by ``order`` wins.
 
     One aggregation on the prompt with partial results per task, instead of three joins.
     """
     def pick(method: str) -> Column:
         mine = F.col("method") == method
-        if order is None:
-            return F.max(F.when(mine, F.col("reward")))
         last = F.max(F.when(mine, F.struct(F.col(order).alias("o"), F.col("reward").alias("r"))))
         return last["r"]
 
@@ -150,8 +148,9 @@ def best_of_group(samples: DataFrame, group: str, reward: str, response: str, or
 
 
 def attach_response(table: DataFrame, responses: DataFrame, key: str = "prompt", response: str = "response") -> DataFrame:
-    """Left join of one response per key; a key without one gets the default text."""
-    joined = table.join(responses.select(key, response), key, "left")
+    """Left join of one response per key, the smallest of several; a key without one gets the default text."""
+    single = responses.groupBy(key).agg(F.min(response).alias(response))
+    joined = table.join(single, key, "left")
     return joined.withColumn(response, F.coalesce(response, F.lit(NO_RESPONSE)))
 
 

@@ -114,9 +114,11 @@ def fit_ngram(df: DataFrame, order: int = 2, alpha: float = 1.0, vocab: int = BY
 def score_transitions(rows: DataFrame, model: NgramModel, out: str = "logp", salt_by: tuple[str, ...] = ()) -> DataFrame:
     """Add ``log p(next | ctx)`` to rows with ``ctx`` and ``next``.
 
-    A bounded model is broadcast. A larger one is an equi-join on (ctx, next) where the model's
+    Rows whose context or token is null or outside the vocabulary (an ignored label) are left out. A bounded model
+    is broadcast. A larger one is an equi-join on (ctx, next) where the model's
     own counts say which pairs are hot; unseen pairs take the smoothed value of their context.
     """
+    rows = rows.filter(F.col("next").between(0, model.vocab - 1) & F.col("ctx").between(0, model.vocab ** (model.order - 1) - 1))
     if model.bounded:
         return rows.join(F.broadcast(model.dense(out)), ["ctx", "next"])
     salt = list(salt_by) or rows.columns

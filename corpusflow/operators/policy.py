@@ -163,16 +163,11 @@ def dpo_loss(df: DataFrame, beta: float = 0.1, pc: str = "pc", pr: str = "pr", r
 
 def collapsed_groups(df: DataFrame, tol: float = 1e-3, prompt: str = "prompt_id", reward: str = "reward", response: str = "response") -> DataFrame:
     """Groups of two or more whose rewards barely differ, with the number of distinct responses."""
-    hashed = df.select(prompt, reward, F.xxhash64(response).alias("_h"))
     # one row per distinct response first, so a hot prompt is never counted in one task
-    per = hashed.groupBy(prompt, "_h").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(reward).alias("s"), F.sum(F.col(reward) * F.col(reward)).alias("ss"),
-        F.min(reward).alias("lo"), F.max(reward).alias("hi"),
-    )
-    agg = per.groupBy(prompt).agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_distinct"),
-        F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-    )
-    var = F.greatest((F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1), F.lit(0.0))
-    std = F.when(F.col("lo") == F.col("hi"), F.lit(0.0)).otherwise(F.sqrt(var))
-    return agg.filter(F.col("n") > 1).withColumn("std", std).filter(F.col("std") < tol).select(prompt, "n", "n_distinct", "std")
+    distinct = df.select(prompt, F.xxhash64(response).alias("_h")).distinct()
+    distinct = distinct.groupBy(F.col(prompt).alias("_prompt")).agg(F.count(F.lit(1)).alias("n_distinct"))
+    # the deviation is merged from per-task moments, which keeps small spreads around large rewards
+    spread = F.coalesce(F.when(F.min(reward) == F.max(reward), F.lit(0.0)), F.stddev_samp(reward))
+    groups = df.groupBy(prompt).agg(F.count(F.lit(1)).alias("n"), spread.alias("std"))
+    flat = groups.filter((F.col("n") > 1) & (F.col("std") < tol))
+    return flat.join(distinct, F.col(prompt).eqNullSafe(F.col("_prompt"))).select(prompt, "n", "n_distinct", "std")

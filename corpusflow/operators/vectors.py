@@ -16,7 +16,7 @@ def project(df: DataFrame, vec: str, weights: DataFrame, key: str, out: str = "y
 
     The size of ``weights`` is measured. A small matrix becomes one constant of the query and
     no row moves; a large one is cut into slabs, each row meets every slab by an equi-join
-    salted over 64 copies, and the slab outputs are put back in order.
+    salted over 64 copies, and the slab outputs are put back in order. Rows with a null or repeated key are kept as they are.
     """
     shape = weights.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("w")).alias("d")).first()
     n, width = int(shape["n"]), int(shape["d"] or 0)
@@ -32,15 +32,19 @@ def project(df: DataFrame, vec: str, weights: DataFrame, key: str, out: str = "y
     placed = weights.join(ordinal(weights, "unit"), "unit").withColumn("slab", F.floor(F.col("ord") / per_slab))
     slabs = placed.groupBy("slab").agg(F.array_sort(F.collect_list(F.struct("unit", doubles("w").alias("w")))).alias("m"))
     slabs = slabs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = df.select(key, doubles(vec).alias("_x")).withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    # equal rows are computed once and repeated; whole rows are the grouping key, so a null or repeated key is no matter
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
+    rows = distinct.select(F.struct(*df.columns).alias("_row"), "_times", doubles(vec).alias("_x"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("_x"), F.lit(salts)).cast("int"))
     rows = rows.withColumn("slab", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // per_slab)))).withColumn(
         "slab", F.col("slab").cast("bigint")
     )
     parts = rows.join(slabs, ["slab", "salt"]).select(
-        key, F.struct("slab", F.transform("m", lambda r: dot("_x", r["w"])).alias("y")).alias("part")
+        "_row", "_times", F.struct("slab", F.transform("m", lambda r: dot("_x", r["w"])).alias("y")).alias("part")
     )
-    whole = parts.groupBy(key).agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return df.join(whole.select(key, F.flatten(F.transform("parts", lambda p: p["y"])).alias(out)), key)
+    whole = parts.groupBy("_row", "_times").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    whole = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
+    return whole.select("_row.*", F.flatten(F.transform("parts", lambda p: p["y"])).alias(out))
 
 
 def rms_norm(vec: Column | str, eps: float = 1e-8, gain: Column | None = None) -> Column:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 10_000_000
+HOT_KEYS = 10_000
 
 
 def attach(
@@ -24,14 +27,19 @@ def attach(
     ``stats[size]`` is the number of ``rows`` per key. A key above ``hot_rows``
     is cut into ``ceil(size / hot_rows)`` parts by a hash of ``salt_by``; its
     stats row is repeated once per part, so no task gets more than about
-    ``hot_rows`` rows. The list of hot keys has at most ``rows / hot_rows``
-    entries, which bounds the one broadcast used here.
+    ``hot_rows`` rows, or a ten-thousandth of all rows where that is more. The list of hot keys
+    therefore has at most ``HOT_KEYS`` entries, which bounds the one broadcast used here. Null keys meet null keys.
     """
     keys = list(keys)
-    parts = F.ceil(F.col(size) / F.lit(hot_rows)).cast("int")
-    hot = stats.filter(F.col(size) > hot_rows).select(*keys, parts.alias("_parts"))
-    left = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_by), F.coalesce("_parts", F.lit(1)).cast("bigint")).cast("int")
-    )
-    right = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt", "_parts")
+    limit = F.greatest(F.lit(hot_rows).cast("double"), stats.agg(F.sum(size) / HOT_KEYS).scalar())
+    sized = stats.withColumn("_most", F.coalesce(limit, F.lit(hot_rows).cast("double")))
+    parts = F.greatest(F.ceil(F.col(size) / F.col("_most")), F.lit(1)).cast("int")
+    hot = sized.filter(F.col(size) > F.col("_most")).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], parts.alias("_parts"))
+    hot_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    left = rows.join(F.broadcast(hot), hot_key, "left").drop(*[f"_hot_{k}" for k in keys])
+    salt = F.pmod(F.xxhash64(*salt_by), F.coalesce("_parts", F.lit(1)).cast("bigint")).cast("int")
+    left = left.withColumn("_salt", salt).drop("_parts")
+    right = sized.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_most")
+    right = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_salt") == F.col("_part"))
+    return left.join(right, same, how).drop("_salt", "_part", *[f"_of_{k}" for k in keys])

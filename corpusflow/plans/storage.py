@@ -1,8 +1,8 @@
 """Shared-folder access: lineage cuts and scratch tables.
 
 Everything durable goes under ``spark.checkpoint.dir``, the folder every node of
-the cluster sees. Only when a session names none (tests, laptops) is a folder
-made for it.
+the cluster sees. A folder is made only for a local master that names none (tests,
+laptops); on a cluster the setting is required.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     path = spark.conf.get("corpusflow.local.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every node sees")
         path = tempfile.mkdtemp(prefix="corpusflow-")
         spark.conf.set("corpusflow.local.dir", path)
     spark.sparkContext.setCheckpointDir(path)

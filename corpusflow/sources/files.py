@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    system, hadoop = _file_system(spark, path)
+    return system.exists(hadoop)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, hadoop = _file_system(spark, path)
+    return system.exists(hadoop) and system.getFileStatus(hadoop).isDirectory()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, hadoop = _file_system(spark, path)
+    system.mkdirs(hadoop)
 
 
 def _require(spark: SparkSession, path: str) -> None:
@@ -28,7 +40,7 @@ def read_corpus(spark: SparkSession, path: str, whole: bool = False) -> DataFram
     """
     _require(spark, path)
     reader = spark.read.option("recursiveFileLookup", "true")
-    if not os.path.splitext(path)[1]:
+    if is_folder(spark, path):
         reader = reader.option("pathGlobFilter", "*.txt")
     rows = reader.text(path, wholetext=True) if whole else reader.text(path, lineSep="\n")
     return rows.select(F.input_file_name().alias("path"), F.col("value").alias("text"))

@@ -13,20 +13,19 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..plans.storage import scratch_path
+from ..sources.files import is_folder, make_folder
 
 
 def stream_table(spark: SparkSession, root: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """A Parquet table as a stream, with the schema its files declare."""
-    schema = spark.read.parquet(f"{root}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(root)
-    )
+    """A Parquet table, one file or a folder of part files, as a stream with the schema its files declare."""
+    path = f"{root}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(root)
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append", available_now: bool = True) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Drain a stream to a Parquet table in the shared folder and read it back.
 
     In append mode the file sink commits exactly once. In update mode each epoch overwrites its own
@@ -46,6 +45,7 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append", available_n
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     fields = list(stream.schema.fields)
+    make_folder(spark, f"{base}/data")  # a stream without rows has written nothing
     schema = T.StructType(fields if mode == "append" else [*fields, T.StructField("epoch", T.IntegerType())])
     return spark.read.schema(schema).parquet(f"{base}/data")
 

@@ -24,7 +24,7 @@ def ev_exact(spark, root):
 
 
 def _table(spark, root):
-    return ev.comparison_table(t.eval_results(spark, root))
+    return ev.comparison_table(t.eval_results(spark, root), "reward")
 
 
 def ev_table(spark, root):

@@ -144,19 +144,17 @@ QUERIES = {
 
 _SHAPED = f"""{TRAJ},
 shaped as (select *, case when pos = seq_len - 1 then reward else 0.0::double end - {KL_COEF}::double * (old_logp - ref_logp) as sh from act),
-advs as (select *, sh - value as adv from shaped)"""
+advs as materialized (select *, sh - value as adv from shaped)"""
 _NORM = f"""{_SHAPED},
-st as (select avg(adv) as m, stddev_samp(adv) as s from advs),
-normed as (select advs.*, (adv - m) / greatest(s, 1e-6) as adv_norm from advs, st)"""
+normed as (select advs.*, (adv - (select avg(adv) from advs)) / greatest((select stddev_samp(adv) from advs), 1e-6) as adv_norm from advs)"""
 _SAMPLES = """samples as (select user_id || '-' || strftime(ts, '%Y-%m-%d') as prompt_id, event_id, value as reward, event_type as response from events),
 gst as (select prompt_id, avg(reward) as gm, stddev_samp(reward) as gs, count(*) as n from samples group by prompt_id)"""
 _TADV = f"""{TRAJ},
 tadv as (select traj_id, prompt_id, reward - avg(reward) over (partition by prompt_id) as c,
   case when count(*) over (partition by prompt_id) > 1 then
     (reward - avg(reward) over (partition by prompt_id)) / greatest(stddev_samp(reward) over (partition by prompt_id), 1e-6) end as z from seqs),
-tok as (select act.*, tadv.c as adv from act join tadv on tadv.traj_id = act.traj_id),
-tst as (select avg(adv) as m, stddev_samp(adv) as s from tok),
-tokn as (select tok.*, (adv - m) / greatest(s, 1e-6) as adv_norm from tok, tst)"""
+tok as materialized (select act.*, tadv.c as adv from act join tadv on tadv.traj_id = act.traj_id),
+tokn as (select tok.*, (adv - (select avg(adv) from tok)) / greatest((select stddev_samp(adv) from tok), 1e-6) as adv_norm from tok)"""
 
 
 def _group_sql(adv: str) -> str:

@@ -12,7 +12,7 @@ from corpusflow.sources import tables as t
 from .kit import SFT_ITEMS, big, r6, s_bytes, s_r6, with_
 
 TOP = 3
-BLOCK, WINDOW, SINK = 32, 16, 2
+WINDOW, SINK = 16, 2
 HEADS, KV_HEADS = 4, 2
 MIN_LEN = 64
 
@@ -94,13 +94,13 @@ def _attended(df):
 
 
 def vec_attend(spark, root):
-    return _attended(attention.causal_attend(_emb(spark, root), "label", "vec_id", "embedding", "embedding", "embedding", block=BLOCK))
+    return _attended(attention.causal_attend(_emb(spark, root), "label", "vec_id", "embedding", "embedding", "embedding"))
 
 
 def vec_attend_heads(spark, root):
     emb = _emb(spark, root).withColumn("kv", F.slice("embedding", 1, 64 // HEADS * KV_HEADS))
     return _attended(
-        attention.causal_attend(emb, "label", "vec_id", "embedding", "kv", "kv", heads=HEADS, kv_heads=KV_HEADS, block=BLOCK)
+        attention.causal_attend(emb, "label", "vec_id", "embedding", "kv", "kv", heads=HEADS, kv_heads=KV_HEADS)
     )
 
 
@@ -145,7 +145,7 @@ from hd h join wt on wt.vec_id = h.vec_id and wt.head = h.head
 join rows v on v.label = h.label and v.pos = wt.bpos and v.dim = h.kdim group by h.vec_id, h.pos, h.dim"""
 
 
-_SAME_BLOCK = f"b.pos <= a.pos and b.pos // {BLOCK} = a.pos // {BLOCK}"
+_EARLIER = "b.pos <= a.pos"
 
 ORACLE = {
     "vec_project": with_(_CENT)
@@ -168,7 +168,7 @@ from rt join el on el.vec_id = rt.vec_id join cent c on c.label = rt.expert and
     + f"""select pair_id, dim, {s_r6('avg(x)')} as mean
 from (select pair_id, ids[i] as token from (select pair_id, ids, unnest(range(1, len(ids) + 1)) as i
       from (select pair_id, {s_bytes('response')} as ids from sft_items))) s join el on el.vec_id = s.token group by pair_id, dim""",
-    "vec_attend": _attend_sql(_SAME_BLOCK),
-    "vec_attend_heads": _attend_sql(_SAME_BLOCK, HEADS, KV_HEADS),
+    "vec_attend": _attend_sql(_EARLIER),
+    "vec_attend_heads": _attend_sql(_EARLIER, HEADS, KV_HEADS),
     "vec_attend_window": _attend_sql(f"b.pos <= a.pos and (b.pos > a.pos - {WINDOW} or b.pos < {SINK})"),
 }

@@ -157,6 +157,7 @@ def test_toy_attention_and_mask(spark):
         rows = attention.causal_attend(df, "g", "id", "x", "x", "x", **kw).orderBy("id").collect()
         return np.array([r["y"] for r in rows])
 
+    assert np.allclose(run(), brute(lambda i, j: True))  # the history reaches over blocks
     assert np.allclose(run(block=3), brute(lambda i, j: i // 3 == j // 3))
     assert np.allclose(run(window=5, sink=2), brute(lambda i, j: j > i - 5 or j < 2))
     assert np.allclose(run(window=4), brute(lambda i, j: j > i - 4))
