@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..plans.layout import spread
 from ..plans.scan import ordinal
 
+PAIR_STEP = 10_000_019
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
@@ -19,6 +21,11 @@ def documents(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     return spread(table(spark, root, "documents").select("doc_id", *columns), "doc_id")
 
 
+def pair_number(conv: str, turn: str) -> Column:
+    """One BIGINT per (conversation, turn), unique for turns below ``PAIR_STEP``; odd, so remainders mix both parts."""
+    return F.col(conv) * PAIR_STEP + F.col(turn)
+
+
 def sft_pairs(spark: SparkSession, root: str) -> DataFrame:
     """User turn, following assistant turn, and a preceding system turn as input.
 
@@ -50,7 +57,7 @@ def sft_pairs(spark: SparkSession, root: str) -> DataFrame:
         seat(1, "text").alias("output"),
     )
     return joined.filter(F.col("turn").isNotNull() & F.col("output").isNotNull()).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"),
+        pair_number("conv_id", "turn").alias("pair_id"),
         "conv_id",
         "instruction",
         F.coalesce("input", F.lit("")).alias("input"),

@@ -62,7 +62,7 @@ def s_prompt(prompt: str) -> str:
 
 
 SFT_PAIRS = """sft_pairs as (
-  select conv_id*1000+turn as pair_id, conv_id, text as instruction,
+  select conv_id*10000019+turn as pair_id, conv_id, text as instruction,
          case when prev_role='system' then prev_text else '' end as input, next_text as output
   from (select *, lead(role) over w as next_role, lead(text) over w as next_text,
                lag(role) over w as prev_role, lag(text) over w as prev_text

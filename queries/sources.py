@@ -42,7 +42,7 @@ def src_slice(spark, root):
 
 def src_prompts(spark, root):
     turns = t.table(spark, root, "conversations").filter(F.col("role") == "user")
-    turns = turns.withColumn("prompt_key", F.col("conv_id") * 1000 + F.col("turn"))
+    turns = turns.withColumn("prompt_key", t.pair_number("conv_id", "turn"))
     base = t.sample_prompts(turns, 16, "text", "prompt_key")
     return t.cycle_to(base, 64, "prompt_key").select("slot", "prompt_key", F.col("text").alias("prompt"))
 
@@ -117,7 +117,7 @@ ORACLE = {
 where length({s_strip('chosen')}) > 0 and length({s_strip('rejected')}) > 0""",
     "src_slice": with_(SFT_ITEMS) + "select pair_id, prompt, response from sft_items order by pair_id limit 100",
     "src_prompts": f"""with base as (
-  select conv_id*1000+turn as prompt_key, text as prompt, row_number() over (order by conv_id*1000+turn) - 1 as ord
+  select conv_id*10000019+turn as prompt_key, text as prompt, row_number() over (order by conv_id*10000019+turn) - 1 as ord
   from conversations where role='user' and length({s_strip('text')}) > 0 order by 1 limit 16)
 select s.slot, prompt_key, prompt from range(64) s(slot) join base on ord = s.slot % (select count(*) from base)""",
     "src_metrics": """select case event_type when 'view' then 'sft' when 'click' then 'ppo' when 'signup' then 'grpo' else 'dpo' end as method,

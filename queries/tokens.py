@@ -87,7 +87,18 @@ QUERIES = {
 _WORDS = """words as (
   select word, count(*) as n from (select unnest(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\v]+')) as word from documents) group by word)"""
 
+# White space of the split pattern, written out: SQL patterns know ASCII white space only.
+_WS = r"\x{9}-\x{d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The look-ahead only decides where a run of spaces is cut, so that place is marked first.
+_PRETOK = rf"""pre as (
+  select word, count(*) as n from (
+    select unnest(regexp_extract_all(seg, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{L}}\p{{N}}{_WS}]+|[{_WS}]+')) as word
+    from (select unnest(string_split(regexp_replace(line, '([{_WS}])([^{_WS}])', chr(1) || '\1\2', 'g'), chr(1))) as seg
+          from (select unnest(regexp_extract_all(text, '[^\n]*\n|[^\n]+')) as line from documents)))
+  group by word)"""
+
 ORACLE = {
+    "tok_pretok": f"with {_PRETOK} select word, n from pre",
     "tok_byte_enc": f"select doc_id, len(ids)::bigint as n_tokens, {s_digest('ids')} as ids_md5 from (select doc_id, {s_bytes('text')} as ids from documents)",
     "tok_byte_dec": "select doc_id, text from documents",
     "tok_bpe_dec": "select doc_id, text from documents",

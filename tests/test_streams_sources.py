@@ -131,7 +131,7 @@ def test_long_conversation_pairs(spark, tmp_path):
     turns = [(1, 3 * i, ["user", "assistant"][i % 2], f"t{i}") for i in range(600)] + [(2, 0, "system", "s"), (2, 5, "user", "u"), (2, 9, "assistant", "a")]
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r["pair_id"]: (r["instruction"], r["input"], r["output"]) for r in t.sft_pairs(spark, str(tmp_path)).collect()}
-    assert got == {**{1000 + 3 * i: (f"t{i}", "", f"t{i + 1}") for i in range(0, 600, 2)}, 2005: ("u", "s", "a")}
+    assert got == {**{10_000_019 + 3 * i: (f"t{i}", "", f"t{i + 1}") for i in range(0, 600, 2)}, 2 * 10_000_019 + 5: ("u", "s", "a")}
 
 
 def test_scorer_sets_up_once_per_partition(spark):
