@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from ..plans.storage import cut_lineage
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every node with a smaller neighbour has one only, which itself has none: all components are stars."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(0).alias("up")).unionByName(edges.select(F.col("b").alias("n"), F.lit(1).alias("up")))
+    seen = ends.groupBy("n").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+    return seen.filter("ups > 1 or (ups = 1 and low = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,8 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.filter(F.col("a") != F.col("b"))
     edges = cut_lineage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    state = _state(edges)
-    while state[0]:
+    while not _is_done(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: larger neighbours meet the smallest of the neighbourhood
@@ -30,8 +32,5 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(down, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y"))
         edges = cut_lineage(small.filter(F.col("x") != F.col("y")).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-        before, state = state, _state(edges)
-        if state == before:
-            break
     child = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return child.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()

@@ -153,43 +153,27 @@ def bands(nodes: DataFrame, rows: int) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "band long, node binary")
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """Pairs whose signatures agree in ``least`` coordinates or more, with that number."""
+def verify(pairs: DataFrame, held: DataFrame, least: int, percent: int, size: int = WORDS) -> DataFrame:
+    """The pairs ``[a, b]`` with ``100 * |A and B| >= percent * |A or B|`` on the full sets of ``held[node, sig, text]``.
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                same = (_matrix(batch.column("sa")) == _matrix(batch.column("sb"))).sum(axis=1)
-                keep = np.flatnonzero(same >= least)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)), pa.array(same[keep].astype(np.int32))],
-                    ["a", "b", "est"],
-                )
-
-    sig = nodes.select("node", "sig")
-    both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, est int")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, percent: int, size: int = WORDS) -> DataFrame:
-    """The pairs ``[a, b]`` with ``100 * |A and B| >= percent * |A or B|`` on the full sets of ``texts[node, text]``."""
+    Pairs whose signatures agree in fewer than ``least`` coordinates are not looked at further.
+    """
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "ta", 1 << 20):
-                keep = []
-                last, held = None, None
+                close = (_matrix(part.column("sa")) == _matrix(part.column("sb"))).sum(axis=1) >= least
+                part = part.filter(pa.array(close))
                 codes = part.column("ta").dictionary_encode()  # a text is often in many pairs of a batch
                 sets = list(document_sets(codes.dictionary, size))
-                for i, (code, other) in enumerate(zip(codes.indices.to_pylist(), document_sets(part.column("tb"), size))):
-                    if code != last:
-                        last, held = code, sets[code]
-                    shared = len(np.intersect1d(held, other, assume_unique=True))
-                    keep.append(100 * shared >= percent * (len(held) + len(other) - shared))
+                keep = []
+                for code, other in zip(codes.indices.to_pylist(), document_sets(part.column("tb"), size)):
+                    shared = len(np.intersect1d(sets[code], other, assume_unique=True))
+                    keep.append(100 * shared >= percent * (len(sets[code]) + len(other) - shared))
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    both = pairs.select("a", "b").join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    both = pairs.select("a", "b").join(held.toDF("a", "sa", "ta"), "a").join(held.toDF("b", "sb", "tb"), "b")
+    return both.select("a", "b", "sa", "sb", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
 def _open_groups(active: DataFrame, roots: DataFrame) -> DataFrame:
@@ -209,7 +193,7 @@ def _open_groups(active: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.select("group", "node", "root", "cut", F.least("cut", "other").alias("i"), F.greatest("cut", "other").alias("j"))
 
 
-def _block_links(blocks: DataFrame, nodes: DataFrame, texts: DataFrame, least: int, percent: int, size: int) -> DataFrame:
+def _block_links(blocks: DataFrame, held: DataFrame, least: int, percent: int, size: int) -> DataFrame:
     """Links ``[a, b]`` between nodes of different roots: a forest of each block, so fewer links than nodes."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -238,7 +222,7 @@ def _block_links(blocks: DataFrame, nodes: DataFrame, texts: DataFrame, least: i
                     root[root == root[q]] = root[p]
         return pd.DataFrame(found, columns=["a", "b"])
 
-    rows = blocks.join(nodes.select("node", "sig"), "node").join(texts, "node")
+    rows = blocks.join(held, "node")
     return rows.groupBy("group", "i", "j").applyInPandas(run, "a binary, b binary")
 
 
@@ -255,16 +239,16 @@ def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_colu
     active = cut_lineage(rows.join(shared.select("band", "pivot"), "band"))
     stars = active.filter(F.col("pivot") != F.col("node")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
 
-    # texts of nodes that share a bucket, one per node
+    # signature and text of nodes that share a bucket
     involved = active.select("node").distinct()
     holders = cut_lineage(sketch.join(involved, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     whole = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    texts = _texts(whole, holders, size)
+    held = _texts(whole, holders, nodes, size)
 
-    links = cut_lineage(verify(_agreeing(stars, nodes, least), texts, percent, size))
+    links = cut_lineage(verify(stars, held, least, percent, size))
     roots = components(links)
     blocks = _open_groups(active.select("band", "node"), roots)
-    links = links.unionByName(cut_lineage(_block_links(blocks, nodes, texts, least, percent, size)))
+    links = links.unionByName(cut_lineage(_block_links(blocks, held, least, percent, size)))
     roots = components(links)
 
     grouped = nodes.select("node", "first_id").join(roots, "node")
@@ -277,8 +261,8 @@ def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_colu
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _texts(whole: DataFrame, holders: DataFrame, size: int) -> DataFrame:
-    """``[node, text]`` of one document of each node; written once, as several rounds read it."""
+def _texts(whole: DataFrame, holders: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``[node, sig, text]`` of one document of each node; written once, as it is read several times."""
 
     def same_set(batches):  # rows that share a doc_id can have different texts
         for batch in batches:
@@ -291,7 +275,8 @@ def _texts(whole: DataFrame, holders: DataFrame, size: int) -> DataFrame:
         holders = F.broadcast(holders)
     held = whole.join(holders, whole["doc_id"].eqNullSafe(holders["doc_id"])).select("node", "text")
     held = held.mapInArrow(same_set, "node binary, text string")
-    return cut_lineage(held.groupBy("node").agg(F.min("text").alias("text")))
+    single = held.groupBy("node").agg(F.min("text").alias("text"))
+    return cut_lineage(single.join(nodes.select("node", "sig"), "node").select("node", "sig", "text"))
 
 
 def deduplicate(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS) -> DataFrame:
