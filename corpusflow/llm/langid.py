@@ -30,7 +30,11 @@ LANGUAGES = 64
 STEPS = 260
 BATCH = 160
 BLOCK = 4096
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also number signs, which are no letters
+
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
 
 
 def windows(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,13 +57,15 @@ def _run(cell: dict, codes: np.ndarray, keep: bool, live: np.ndarray):
     table, inner = cell["x"], cell["h"]
     size = inner.shape[1]
     state = np.zeros((size, codes.shape[1]), np.float32)
-    states, traces = [], []
+    states, traces, full = [], [], live.all(axis=1)
     for t in range(len(codes)):
         given, own = table[:, codes[t]], inner @ state
         gates = _sigmoid(given[: 2 * size] + own[: 2 * size])
         update, reset = gates[:size], gates[size:]
         fresh = np.tanh(given[2 * size :] + reset * own[2 * size :])
-        mixed = np.where(live[t], fresh + update * (state - fresh), state)
+        mixed = fresh + update * (state - fresh)
+        if not full[t]:
+            mixed = np.where(live[t], mixed, state)
         if keep:
             traces.append((state, update, reset, fresh, own[2 * size :]))
         states.append(mixed)
@@ -144,9 +150,11 @@ class Network:
         """Mean distribution over all positions of each text; zeros for an empty one."""
         codes, lengths, owner = windows(data, at)
         sums = np.zeros((len(at) - 1, len(self.languages)))
-        for i in range(0, len(owner), BLOCK):
-            probabilities, live, _ = self._positions(codes[:, i : i + BLOCK], lengths[i : i + BLOCK])
-            np.add.at(sums, owner[i : i + BLOCK], np.einsum("tlw,tw->wl", probabilities, live.astype(np.float32)))
+        for group in (np.flatnonzero(lengths == SPAN), np.flatnonzero(lengths < SPAN)):
+            for i in range(0, len(group), BLOCK):
+                some = group[i : i + BLOCK]
+                probabilities, live, _ = self._positions(codes[:, some], lengths[some])
+                np.add.at(sums, owner[some], np.einsum("tlw,tw->wl", probabilities, live.astype(np.float32)))
         return sums / np.maximum(np.diff(at), 1)[:, None]
 
 
@@ -194,7 +202,7 @@ def predict(docs: DataFrame, network: Network | None, text_column: str = "text")
         for batch in batches:
             for part in slices(batch, place, 1 << 20):
                 texts = text_in(part, place)
-                lettered = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool)
+                lettered = np.array([has_letter(t) for t in texts.to_pylist()], bool)
                 if model is None:
                     langs, scores = ["und"] * len(texts), np.zeros(len(texts))
                 else:

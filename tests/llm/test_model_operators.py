@@ -81,6 +81,10 @@ def test_gradients_of_the_network():
             assert abs((moved[0] - moved[1]) / 2e-4 - found[name][spot]) < 2e-3
 
 
+def test_letters():
+    assert [langid.has_letter(t) for t in (None, "", " 12 ½ ² _-", "🚀", "1é", "日")] == [False, False, False, False, True, True]
+
+
 def test_windows_hold_every_byte():
     texts = [b"a" * 200, b"", b"xyz", bytes(range(96))]
     data, at = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
