@@ -79,7 +79,8 @@ def _as_exact(col: str) -> Column:
 def method_averages(table: DataFrame, null_safe: bool = False, digits: int | None = 4) -> DataFrame:
     """Column sums of non-null scores over the number of all rows (``null_safe``: of non-null rows).
 
-    Sums are decimal so the result does not depend on the order of rows.
+    Sums are decimal so the result does not depend on the order of rows. A column without any score is NULL, not 0: no
+    average was measured.
     """
     def mean(m: str) -> Column:
         n = F.count(m) if null_safe else F.count(F.lit(1))

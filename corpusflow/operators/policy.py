@@ -127,7 +127,8 @@ def ppo_losses(df: DataFrame, eps: float = 0.2, vf_coef: float = 0.5, ent_coef:
 def grpo_losses(df: DataFrame, eps: float = 0.2, ent_coef: float = 0.0, kl_coef: float = 0.1, reference_sign: bool = False) -> DataFrame:
     """Policy-only clipped loss with a KL term; an empty table gives zeros.
 
-    ``reference_sign=True`` leaves out the minus sign of the policy term.
+    ``reference_sign=True`` leaves out the minus sign of the policy term. ``entropy_approx`` is reported even where
+    ``ent_coef`` is 0 and it has no part in the total.
     """
     zero = F.lit(0.0)
     surrogate = F.coalesce(_surrogate("adv", eps), zero)

@@ -156,8 +156,8 @@ def build_pair(df: DataFrame, size: int, clip: bool = True) -> DataFrame:
     """``[.., prompt_ids, response_ids]`` to ``ids`` and a response mask.
 
     A response of ``size`` or more tokens is clipped to ``size - 1``, then the prompt is
-    trimmed from the left. ``clip=False`` is the older rule without the clip:
-    the whole sequence is trimmed from the left.
+    trimmed from the left. ``clip=False`` is the older rule without the clip: a response of ``size`` or more
+    tokens leaves no prompt and keeps its first ``size``.
     """
     keep = [c for c in df.columns if c not in ("prompt_ids", "response_ids")]
     response = F.col("response_ids")
