@@ -91,7 +91,7 @@ _POWERS: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 def _powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             row = np.full(size, base, _U)
             row[0] = 1
