@@ -16,6 +16,7 @@ input are not written.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -44,6 +45,7 @@ class Encoder:
     """Ids of texts, word by word, with a bounded memory of words met before."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
