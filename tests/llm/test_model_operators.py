@@ -202,6 +202,21 @@ def test_noise_contrast_learns_a_rule():
     assert model.log10(guess, norm, np.array([3, 1]), np.array([1, 0])).min() > math.log10(0.8)
 
 
+def test_every_triple_makes_steps():
+    """One triple holds nearly all tokens; the classes of the others move all the same."""
+    model = lbl.LogBilinear(np.full(40, 1 / 40))
+    before = model.p["r"].copy()
+    code = np.array([(k * 41 + 0) * 40 + 1 for k in range(40)])
+    model.train(code, np.array([10**12] + [1] * 39), 1, 1)
+    assert (model.p["r"][:40] != before[:40]).any(axis=1).all()
+
+
+def test_parts_hold_all_counts():
+    n = np.array([1, 1, 7, 1000, 3])
+    place, weight = lbl.shared_out(n)
+    assert np.allclose(np.bincount(place, weight), n) and weight.max() <= n.mean() and len(place) <= 2 * len(n)
+
+
 def test_language_model_edges(spark, odd, none):
     found = lbl.scored(odd, fold("doc_id", 10) != 0).collect()
     assert len(found) == odd.distinct().count()
