@@ -1,8 +1,11 @@
 """Secret scanning: fixed patterns, and strings that a character Markov model calls random.
 
-Three patterns give the base spans (assigned values, access keys, hex runs). Besides, every run of ``RUN`` or more key characters that
-overlaps no base span is scored by two first-order Markov models, one of random strings and one of ordinary identifiers;
-a mean log-likelihood ratio of ``RATIO`` nats a character or more makes it a span of kind ``random``.
+Three patterns give the base spans (assigned values, access keys, hex runs). What they leave of every run of key characters is scored by
+two first-order Markov models, one of random strings and one of ordinary identifiers. A segment of a run whose log-likelihood
+ratios add up to ``LEAST`` nats is a span of kind ``random``, carried on to the next of ``JOINS`` or the end of the run; what is
+ordinary around it does not dilute it, no length is asked for, and those joining characters never speak for chance. A sum that falls ``LEAST`` below its peak ends a segment.
+
+In both models a transition is of no known kind with a chance of ``FLOOR``, so that one unseen pair of characters decides nothing.
 
 Both models are trained on labelled samples of at most ``FIT_DOCS`` documents (smallest hash of the id): values of base spans and
 digests of ids are random, runs of key characters outside base spans are ordinary.
@@ -25,10 +28,12 @@ from ..plans.storage import cut_lineage
 from .common import carried, slices, text_in
 
 KINDS = ("assign", "access", "hex", "random")
-RUN = 20
-RATIO = 0.5
+LEAST = 14.0  # an ordinary character starts such a segment with a chance of e**-14 at most
+FLOOR = 0.1
+BREAK = -1e4
 FIT_DOCS = 4_000
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+JOINS = "/+_=-"
 SPAN = "array<struct<kind:string,begin:int,end:int>>"
 
 # Fixed patterns of the base spans.
@@ -42,9 +47,8 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _MARKS = ("passw", "secret", "token", "apikey", "api_key")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _KEY = r"[A-Za-z0-9+/_=-]"
-_RUNS = re.compile(rf"(?<!{_KEY}){_KEY}{{{RUN},}}")
-_SAMPLES = re.compile(rf"(?<!{_KEY}){_KEY}{{6,}}")
-_CODE = np.full(128, -1, np.int64)
+_SAMPLES = re.compile(rf"(?<!{_KEY}){_KEY}{{2,}}")
+_CODE = np.full(129, -1, np.int64)  # the last stands for all that is not ASCII
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 
 
@@ -86,6 +90,65 @@ def _split(pattern: re.Pattern, text: str, spans: list) -> list[tuple[int, int]]
     return [m.span() for m in pattern.finditer(text) if not spans or _free(*m.span(), spans)]
 
 
+def _codes(text: str, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Number of every key character outside base spans, -1 elsewhere; one more -1 at the end."""
+    if text.isascii():
+        found = _CODE[np.frombuffer(text.encode("ascii"), np.uint8)]
+    else:
+        found = _CODE[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 128)]
+    for b, _, e in spans:
+        found[b:e] = -1
+    return np.append(found, -1)
+
+
+def _segments(gains: list[float]) -> list[tuple[int, int]]:
+    """First and last character of the segments of a run that add up to ``LEAST``; ``gains[i]`` joins characters i and i + 1."""
+    out = []
+    at = start = end = 0
+    total = top = 0.0
+    while True:
+        done = at == len(gains)
+        if not done:
+            total += gains[at]
+            at += 1
+            if total > top:
+                top, end = total, at
+        if done or total <= 0 or top - total >= LEAST:
+            if top >= LEAST:
+                out.append((start, end))
+                at = end
+            elif done:
+                return out
+            start = end = at
+            total = top = 0.0
+
+
+def random_spans(text: str, spans: list[tuple[int, int, int]], ratios: np.ndarray) -> list[tuple[int, int]]:
+    """``(begin, end)`` of random segments outside base spans; ``ratios`` has a row and a column of ``BREAK`` for other characters."""
+    codes = _codes(text, spans)
+    gains = ratios[codes[:-1], codes[1:]]
+    sums = np.cumsum(gains)
+    excess = sums - np.minimum(np.minimum.accumulate(sums), 0.0)
+    hits = np.flatnonzero(excess >= LEAST - 1e-3)  # at least those of every run; a run is then scored by itself
+    out: list[tuple[int, int]] = []
+    if not len(hits):
+        return out
+    stops = np.flatnonzero(codes < 0)
+    for k in np.unique(np.searchsorted(stops, hits)):
+        begin, end = int(stops[k - 1]) + 1 if k else 0, int(stops[k])
+        for first, last in _segments(gains[begin : end - 1].tolist()):
+            b, e = begin + first, begin + last + 1
+            while b > begin and text[b - 1] not in JOINS:
+                b -= 1
+            while e < end and text[e] not in JOINS:
+                e += 1
+            if out and b < out[-1][1]:
+                out[-1] = (out[-1][0], max(e, out[-1][1]))
+            else:
+                out.append((b, e))
+    return out
+
+
 def samples(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows: int = FIT_DOCS) -> DataFrame:
     """``[label, text]``: label 1 for random strings, 0 for ordinary ones, from at most ``rows`` documents."""
     chosen = docs.select(F.col(id_column).alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(rows).distinct()
@@ -126,18 +189,23 @@ def fit(labelled: DataFrame) -> np.ndarray:
     counts = np.zeros(2 * size * size)
     counts[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(float)
     counts = counts.reshape(2, size, size) + 1.0
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    logs = np.log((1 - FLOOR) * counts / counts.sum(axis=2, keepdims=True) + FLOOR / size)
     return (logs[1] - logs[0]).reshape(-1)
 
 
 def scan(docs: DataFrame, ratios: np.ndarray, text_column: str = "text") -> DataFrame:
     """``[_row, spans]`` for every row: base spans and those the models add, in order."""
     rows, place, row_kind = carried(docs, text_column)
+    size = len(ALPHABET)
+    table = np.full((size + 1, size + 1), BREAK)
+    table[:size, :size] = ratios.reshape(size, size)
+    joins = [ALPHABET.index(c) for c in JOINS]
+    table[joins], table[:, joins] = np.minimum(table[joins], 0), np.minimum(table[:, joins], 0)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
     def spans_of(text: str) -> list[dict]:
         spans = base_spans(text)
-        added = [(b, 3, e) for b, e in _split(_RUNS, text, spans) if ratios[_transitions(text[b:e])].mean() >= RATIO]
+        added = [(b, 3, e) for b, e in random_spans(text, spans, table)]
         return [{"kind": KINDS[k], "begin": b, "end": e} for b, k, e in sorted(spans + added)]
 
     def run(batches):
