@@ -2,8 +2,9 @@
 
 Texts are cut into windows of ``SPAN`` bytes, all of them read. Two gated recurrent layers run over a window in both directions,
 every byte position gets a distribution over languages, and the mean over all positions is the document's.
-Weights are trained in numpy by backpropagation through time with Adam, on windows of at most ``FIT_DOCS`` documents for each of
-the ``LANGUAGES`` most frequent languages (smallest hash of the id first).
+Weights are trained in numpy by backpropagation through time with Adam, on windows of at most ``FIT_DOCS`` documents for every
+language (smallest hash of the id first); steps are added for each ``LANGUAGES`` languages. A window of under ``SHORT`` bytes
+teaches only where it is the whole text and holds a letter.
 
 Edge cases: a text that is null or holds no letter is ``und`` with score 0; texts of any length are read whole. A null language
 teaches nothing; without any labelled text every prediction is ``und``. Repeated rows get equal predictions. An empty table
@@ -27,6 +28,7 @@ HIDDEN = 12
 FIT_DOCS = 300
 FIT_WINDOWS = 6
 LANGUAGES = 64
+SHORT = 8
 STEPS = 260
 BATCH = 160
 BLOCK = 4096
@@ -150,20 +152,20 @@ class Network:
         """Mean distribution over all positions of each text; zeros for an empty one."""
         codes, lengths, owner = windows(data, at)
         sums = np.zeros((len(at) - 1, len(self.languages)))
+        block = max(1, BLOCK * LANGUAGES // max(LANGUAGES, len(self.languages)))  # the same memory for any number of languages
         for group in (np.flatnonzero(lengths == SPAN), np.flatnonzero(lengths < SPAN)):
-            for i in range(0, len(group), BLOCK):
-                some = group[i : i + BLOCK]
+            for i in range(0, len(group), block):
+                some = group[i : i + block]
                 probabilities, live, _ = self._positions(codes[:, some], lengths[some])
                 np.add.at(sums, owner[some], np.einsum("tlw,tw->wl", probabilities, live.astype(np.float32)))
         return sums / np.maximum(np.diff(at), 1)[:, None]
 
 
 def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Network | None:
-    """Train on the rows where ``trains`` holds; the sample is bounded by ``LANGUAGES * FIT_DOCS`` documents."""
+    """Train on the rows where ``trains`` holds; the sample is bounded by ``FIT_DOCS`` documents a language."""
     rows = docs.filter(trains & F.col(lang_column).isNotNull()).select(F.col(lang_column).alias("lang"), F.col(id_column).alias("id"))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.join(F.broadcast(frequent.select("lang")), "lang").withColumn("rank", rank).filter(F.col("rank") <= FIT_DOCS)
+    chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= FIT_DOCS)
     chosen = chosen.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     texts = docs.select(F.col(id_column).alias("_id"), F.col(lang_column).alias("_lang"), F.col(text_column).alias("_text"))
 
@@ -171,10 +173,14 @@ def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column:
         rng = np.random.default_rng(3)
         for batch in batches:
             for part in slices(batch, "_text"):
-                codes, lengths, owner = windows(*raw_text(part.column("_text")))
+                data, at = raw_text(part.column("_text"))
+                codes, lengths, owner = windows(data, at)
+                small = np.flatnonzero(np.diff(at) < SHORT)
+                whole = np.zeros(part.num_rows, bool)
+                whole[small] = [has_letter(t) for t in part.column("_text").take(pa.array(small, pa.int64())).to_pylist()]
                 order = np.lexsort((rng.random(len(owner)), owner))
                 place = np.arange(len(owner)) - np.searchsorted(owner[order], owner[order])
-                keep = np.sort(order[(place < FIT_WINDOWS) & (lengths[order] >= 8)])
+                keep = np.sort(order[(place < FIT_WINDOWS) & ((lengths >= SHORT) | whole[owner])[order]])
                 langs = part.column("_lang").take(pa.array(owner[keep]))
                 yield pa.RecordBatch.from_arrays([langs, pa.array(lengths[keep]), pa.array([c.tobytes() for c in codes.T[keep]], pa.binary())], ["lang", "n", "codes"])
 
@@ -188,7 +194,7 @@ def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column:
     pick = rng.choice(len(sample), max(len(sample), 2000), p=(1 / share / len(languages)).to_numpy())
     codes = np.stack([np.frombuffer(c, np.uint8) for c in sample["codes"]]).T[:, pick]
     network = Network(languages)
-    network.train(codes, sample["n"].to_numpy()[pick], np.searchsorted(languages, sample["lang"].to_numpy()[pick]))
+    network.train(codes, sample["n"].to_numpy()[pick], np.searchsorted(languages, sample["lang"].to_numpy()[pick]), STEPS * -(-len(languages) // LANGUAGES))
     return network
 
 

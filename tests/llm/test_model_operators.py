@@ -109,6 +109,13 @@ def test_language_edges(spark, odd, none):
     assert langid.predict(odd, None).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_every_language_is_learnt(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STEPS", 2)
+    rows = [(k, f"text number {k} of its language", f"l{k:02}") for k in range(70)] + [(70, "ab", "short"), (71, "é", "short"), (72, "12", "digits")]
+    network = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert network.languages == [*(f"l{k:02}" for k in range(70)), "short"]
+
+
 # --- secrets ------------------------------------------------------------------
 def plain_base(text):
     kinds = (
