@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, exact, langid, lbl, minhash, pieces, secret_scan, tiling, token_files, toxicity
+from . import chat, exact, langid, lbl, license_scan, minhash, pieces, secret_scan, tiling, token_files, toxicity
 from .common import fold, table
 
 
@@ -78,6 +78,24 @@ def op10_content_sort(spark: SparkSession, root: str) -> DataFrame:
     return exact.assign(table(spark, root, "documents", "doc_id", "text"), keep="max")
 
 
+def op13_license_notices(spark: SparkSession, root: str) -> DataFrame:
+    found = license_scan.scan(table(spark, root, "documents", "doc_id", "text"))
+
+    def labels(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        labels(F.filter("spans", lambda s: s["base"])).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        "score",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +109,7 @@ QUERIES = {
         op8_token_files,
         op9_log_bilinear,
         op10_content_sort,
+        op13_license_notices,
     )
 } | {"pipeline": corpus_pipeline.run}
 
