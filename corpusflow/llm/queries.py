@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, exact, langid, lbl, license_scan, minhash, pieces, secret_scan, tiling, token_files, toxicity
+from . import chat, exact, langid, lbl, license_scan, minhash, pieces, repair, secret_scan, tiling, token_files, toxicity
+from ..plans.storage import cut_lineage
 from .common import fold, table
 
 
@@ -78,6 +79,34 @@ def op10_content_sort(spark: SparkSession, root: str) -> DataFrame:
     return exact.assign(table(spark, root, "documents", "doc_id", "text"), keep="max")
 
 
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given another role by the checksum of ``conv_id:turn``."""
+
+    def shown(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(shown("text"), "[.!?]", "")).otherwise(shown("text"))
+    role = F.when(fate == 4, "user").otherwise(shown("role"))
+    copies = F.explode(F.when(fate == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return turns.filter(fate != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("_copy")).drop("_copy")
+
+
+def op12_structure_repair(spark: SparkSession, root: str) -> DataFrame:
+    turns = table(spark, root, "conversations", "conv_id", "turn", "role", "text")
+    placed = repair.place(_damaged(turns))
+    marked = cut_lineage(repair.faults(placed))
+    found = cut_lineage(repair.scripts(marked))
+    script = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "script"))), lambda s: s["script"]), "")
+    audits = found.groupBy(F.col("conv").alias("_a")).agg(repair.audit(script).alias("audit"))
+    sums = repair.digests(repair.repaired(placed, found)).select(F.col("conv").alias("_s"), "sha256")
+    out = turns.select("conv_id").distinct().join(repair.report(marked, found), F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    out = out.join(audits, F.col("conv_id").eqNullSafe(F.col("_a")), "left").join(sums, F.col("conv_id").eqNullSafe(F.col("_s")), "left")
+    numbers = [F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256"))
+
+
 def op13_license_notices(spark: SparkSession, root: str) -> DataFrame:
     found = license_scan.scan(table(spark, root, "documents", "doc_id", "text"))
 
@@ -109,11 +138,89 @@ QUERIES = {
         op8_token_files,
         op9_log_bilinear,
         op10_content_sort,
+        op12_structure_repair,
         op13_license_notices,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE = {
+    "op12_structure_repair": r"""
+with recursive bits as (select range::bigint as b from range(256)),
+steps(b, v, n) as (
+  select b, b, 0 from bits
+  union all select b, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, n + 1 from steps where n < 8),
+tab as (select list(v order by b) as t from steps where n = 8),
+raw as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+hashed as (
+  select raw.*, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(k, ''), lambda c: ascii(c)::bigint)),
+      lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295::bigint) % 20 as f
+  from raw, tab),
+damaged as (
+  select conv_id, turn, case when f = 4 then 'user' else role end as role,
+         case when f = 1 then '' when f = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from hashed, range(2) c where f <> 0 and (c.range = 0 or f = 3)),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, substr(text, 1, 64), sha256(text)) as i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as cut
+  from damaged),
+marked as (
+  select *, case when cut = '' then 1 when i > min(i) over (partition by conv_id, role, text) then 2
+                 when right(cut, 1) not in ('.', '!', '?') then 3 else 0 end as fault,
+         case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'o' end as r,
+         lag(case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'o' end) over (partition by conv_id order by i) as rb,
+         count(*) over (partition by conv_id) as n
+  from placed),
+rows as (
+  select conv_id, i, n, r, role, text, fault in (1, 2) as gone, (fault = 3)::int as cut from marked),
+-- least (cost, edits) per state: 0 nothing, 1 system, 2 user, 3 assistant; edits as letters, roles of new turns in lower case
+walk(conv_id, i, n, s0, s1, s2, s3) as (
+  select distinct conv_id, 0::bigint, n, {'c': 0, 'a': ''}, null::struct(c integer, a varchar), {'c': 2, 'a': 'I'}, {'c': 4, 'a': 'II'} from rows
+  union all
+  select conv_id, i, n, s0, s1, least(u, {'c': s0.c + 2, 'a': s0.a || 'I'}, case when a.c is null then null else {'c': a.c + 2, 'a': a.a || 'I'} end,
+                                      case when s1.c is null then null else {'c': s1.c + 2, 'a': s1.a || 'I'} end),
+         least(a, {'c': s0.c + 4, 'a': s0.a || 'II'}, case when u.c is null then null else {'c': u.c + 2, 'a': u.a || 'I'} end,
+               case when s1.c is null then null else {'c': s1.c + 4, 'a': s1.a || 'II'} end)
+  from (
+    select w.conv_id, w.i + 1 as i, w.n, {'c': w.s0.c + 3, 'a': w.s0.a || 'D'} as s0,
+           least(case when w.s1.c is null then null else {'c': w.s1.c + 3, 'a': w.s1.a || 'D'} end,
+                 case when not x.gone and x.r = 's' then {'c': w.s0.c + x.cut, 'a': w.s0.a || 'K'} end) as s1,
+           least({'c': w.s2.c + 3, 'a': w.s2.a || 'D'},
+                 case when not x.gone then least(
+                   {'c': w.s0.c + x.cut + case when x.r = 'u' then 0 else 2 end, 'a': w.s0.a || case when x.r = 'u' then 'K' else 'R' end},
+                   case when w.s1.c is null then null else
+                     {'c': w.s1.c + x.cut + case when x.r = 'u' then 0 else 2 end, 'a': w.s1.a || case when x.r = 'u' then 'K' else 'R' end} end,
+                   {'c': w.s3.c + x.cut + case when x.r = 'u' then 0 else 2 end, 'a': w.s3.a || case when x.r = 'u' then 'K' else 'R' end}) end) as u,
+           least({'c': w.s3.c + 3, 'a': w.s3.a || 'D'},
+                 case when not x.gone then
+                   {'c': w.s2.c + x.cut + case when x.r = 'a' then 0 else 2 end, 'a': w.s2.a || case when x.r = 'a' then 'K' else 'R' end} end) as a
+    from walk w join rows x on x.conv_id is not distinct from w.conv_id and x.i = w.i + 1)),
+found as (select conv_id, least(s0, s3) as best from walk where i = n),
+letters as (
+  select conv_id, best.c as cost, best.a as audit, unnest(range(1, length(best.a) + 1)) as j from found),
+edits as (
+  select conv_id, j, substr(audit, j::bigint, 1) as e,
+         count(case when substr(audit, j::bigint, 1) <> 'I' then 1 end) over (partition by conv_id order by j) as i from letters),
+lines as (
+  select e.conv_id, e.j, e.e, x.role, x.text, x.r,
+         row_number() over (partition by e.conv_id order by e.j) - max(case when e.e = 'K' and x.r = 's' then 1 else 0 end) over (partition by e.conv_id) as p
+  from edits e left join rows x on x.conv_id is not distinct from e.conv_id and x.i = e.i and e.e <> 'I' where e.e <> 'D'),
+texts as (
+  select conv_id, string_agg(case when e = 'K' then role else case when p % 2 = 1 then 'user' else 'assistant' end end || ':' ||
+                             case when e = 'I' then '' else text end, chr(10) order by j) as whole from lines group by conv_id),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 1) as blank,
+         count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated,
+         count(*) filter (rb is not null and rb || r not in ('su', 'ua', 'au')) as illegal
+  from marked group by conv_id)
+select a.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0)::bigint as blank, coalesce(c.duplicate, 0)::bigint as duplicate,
+       coalesce(c.truncated, 0)::bigint as truncated, coalesce(c.illegal, 0)::bigint as illegal, coalesce(f.best.c, 0)::bigint as cost,
+       coalesce(f.best.a, '') as audit, sha256(coalesce(t.whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join counts c on c.conv_id is not distinct from a.conv_id
+left join found f on f.conv_id is not distinct from a.conv_id
+left join texts t on t.conv_id is not distinct from a.conv_id""",
     "op1_chat_rotation": """
 with rows as (
   select conv_id, turn, coalesce(floor(turn / 128.0), -1)::bigint as block,
