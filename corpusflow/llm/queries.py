@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, exact, langid, lbl, license_scan, minhash, pieces, repair, secret_scan, tiling, token_files, toxicity
+from . import chat, exact, hard_negatives, langid, lbl, license_scan, minhash, pieces, repair, secret_scan, tiling, token_files, toxicity
 from ..plans.storage import cut_lineage
 from .common import fold, table
 
@@ -79,6 +79,11 @@ def op10_content_sort(spark: SparkSession, root: str) -> DataFrame:
     return exact.assign(table(spark, root, "documents", "doc_id", "text"), keep="max")
 
 
+def op11_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, root, "embeddings", "vec_id", "embedding", "label"), F.col("vec_id") % 50 == 0, label=label)
+
+
 def _damaged(turns: DataFrame) -> DataFrame:
     """Rows dropped, emptied, cut, repeated or given another role by the checksum of ``conv_id:turn``."""
 
@@ -138,12 +143,32 @@ QUERIES = {
         op8_token_files,
         op9_log_bilinear,
         op10_content_sort,
+        op11_hard_negatives,
         op12_structure_repair,
         op13_license_notices,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE = {
+    "op11_hard_negatives": """
+with sound as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+dims as (select greatest(max(len(v)), 1) as d from sound),
+rows as (select row_number() over () as r, vec_id, label, list_resize(v, d, 0.0) as v from sound, dims),
+scores as (
+  select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.r <> b.r where a.vec_id % 50 = 0),
+positives as (
+  select ar, anchor_id, br, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by ar order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id, (row_number() over (partition by p.ar, p.br order by n.score desc, n.vec_id))::int as rank,
+       n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scores n
+  on n.ar = p.ar and not n.same and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+qualify row_number() over (partition by p.ar, p.br order by n.score desc, n.vec_id) <= 3""",
     "op12_structure_repair": r"""
 with recursive bits as (select range::bigint as b from range(256)),
 steps(b, v, n) as (
