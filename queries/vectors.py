@@ -104,6 +104,14 @@ def vec_attend_heads(spark, root):
     )
 
 
+def vec_attend_shared(spark, root):
+    """Two groups that use the same keys."""
+    emb = _emb(spark, root).select((F.col("vec_id") % 2).alias("half"), F.floor(F.col("vec_id") / 2).cast("bigint").alias("k"), "embedding")
+    found = attention.causal_attend(emb, "half", "k", "embedding", "embedding", "embedding")
+    long = found.select("half", "k", big("pos").alias("pos"), F.posexplode("y").alias("dim", "v"))
+    return long.select("half", "k", "pos", big("dim").alias("dim"), r6("v").alias("y"))
+
+
 def vec_attend_window(spark, root):
     return _attended(
         attention.causal_attend(_emb(spark, root), "label", "vec_id", "embedding", "embedding", "embedding", window=WINDOW, sink=SINK)
@@ -114,7 +122,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         vec_project, vec_rms, vec_layernorm, vec_softmax, vec_route, vec_route_load, vec_balance, vec_combine, vec_pool,
-        vec_attend, vec_attend_heads, vec_attend_window,
+        vec_attend, vec_attend_heads, vec_attend_shared, vec_attend_window,
     )
 }
 
@@ -169,6 +177,9 @@ from rt join el on el.vec_id = rt.vec_id join cent c on c.label = rt.expert and
 from (select pair_id, ids[i] as token from (select pair_id, ids, unnest(range(1, len(ids) + 1)) as i
       from (select pair_id, {s_bytes('response')} as ids from sft_items))) s join el on el.vec_id = s.token group by pair_id, dim""",
     "vec_attend": _attend_sql(_EARLIER),
+    "vec_attend_shared": "select vec_id % 2 as half, vec_id // 2 as k, pos, dim, y from ("
+    + _attend_sql(_EARLIER).replace("from embeddings", "from (select vec_id, vec_id % 2 as label, embedding from embeddings)")
+    + ")",
     "vec_attend_heads": _attend_sql(_EARLIER, HEADS, KV_HEADS),
     "vec_attend_window": _attend_sql(f"b.pos <= a.pos and (b.pos > a.pos - {WINDOW} or b.pos < {SINK})"),
 }
