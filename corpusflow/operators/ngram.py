@@ -219,20 +219,88 @@ def sample_next(dist: DataFrame, seed: int) -> DataFrame:
 
 
 # --- generation ---------------------------------------------------------------
+CUT = "array<struct<lo:double,hi:double,next:int>>"
+
+
 def generation_table(
     model: NgramModel, temperature: float = 1.0, k: int | None = None, p: float | None = None
 ) -> DataFrame:
-    """``[ctx, next, lo, hi]`` after temperature, top-k and top-p; temperature 0 is greedy."""
-    source = model.dense() if model.bounded else model.seen()
-    logits = source.withColumnRenamed("logp", "logit").select("ctx", "next", "logit")
+    """``[ctx, choice]`` after temperature, top-k and top-p, one row per seen context; temperature 0 is greedy.
+
+    A choice is the same distribution that a table of all ``vocab`` tokens would give, without its rows: ``cuts`` are the
+    slices of the seen tokens in token order, and the first ``free`` unseen tokens take ``unit`` each, between the cuts. It
+    has at most as many cuts as the context has seen tokens.
+    """
+    ctx = Window.partitionBy("ctx")
+    rows = model.counts.select("ctx", "next", "n", F.sum("n").over(ctx).alias("total"), F.count(F.lit(1)).over(ctx).alias("m"))
     if temperature == 0:
-        return greedy_next(logits).select("ctx", "next", F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-    dist = next_token_dist(logits, temperature)
+        best = rows.groupBy("ctx").agg(F.max_by("next", F.struct("n", -F.col("next"))).alias("next"))
+        cut = F.array(F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"), F.col("next"))).cast(CUT)
+        return best.select("ctx", F.struct(cut.alias("cuts"), F.lit(0.0).alias("unit"), F.lit(0).cast("bigint").alias("free")).alias("choice"))
+    heat = float(max(temperature, 1e-6))
+    rows = rows.withColumns({"logit": model.logp(F.col("n"), F.col("total")) / heat, "_floor": model.logp(F.lit(0), F.col("total")) / heat})
+    top = F.max("logit").over(ctx)
+    rows = rows.withColumns({"p": F.exp(F.col("logit") - top), "unit": F.exp(F.col("_floor") - top), "free": F.lit(model.vocab) - F.col("m")})
+    rows = _shared(rows, ctx)
+    # an unseen token is less likely than any seen one, so it is cut off first
+    ranked = Window.partitionBy("ctx").orderBy(F.desc("logit"))
     if k is not None and k < model.vocab:
-        dist = top_k(dist, k)
-    if p is not None:
-        dist = top_p(dist, p)
-    return cumulative(dist)
+        rows = rows.withColumn("_r", F.rank().over(ranked)).filter(F.col("_r") <= k)
+        rows = _shared(rows.withColumn("free", F.when(F.col("m") < k, F.col("free")).otherwise(F.lit(0))), ctx)
+    if p is not None and 0.0 < p < 1.0:
+        order = Window.partitionBy("ctx").orderBy(F.desc("logit"), "next")
+        running = F.sum("p").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        held = F.sum("p").over(ctx)
+        rows = rows.withColumns({"_c": running, "_r": F.row_number().over(order), "_held": held})
+        fits = F.floor((F.lit(p) - F.col("_held")) / F.col("unit")).cast("bigint")
+        rows = rows.withColumn("free", F.when(F.col("_held") <= p, F.least(F.col("free"), fits)).otherwise(F.lit(0).cast("bigint")))
+        rows = _shared(rows.filter((F.col("_r") == 1) | (F.col("_c") <= p)), ctx)
+    by_token = Window.partitionBy("ctx").orderBy("next")
+    seen = F.sum("p").over(by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # where unseen tokens are left no seen one was cut off, so the row number counts all seen tokens up to here
+    below = F.least(F.col("next") - F.row_number().over(by_token) + 1, F.col("free"))
+    ends = (F.lead("next").over(by_token).isNull()) & (below == F.col("free"))
+    rows = rows.withColumn("hi", F.when(ends, F.lit(1.0)).otherwise(seen + below * F.col("unit")))
+    cut = F.struct((F.col("hi") - F.col("p")).alias("lo"), "hi", F.col("next").cast("int").alias("next"))
+    grouped = rows.groupBy("ctx").agg(F.array_sort(F.collect_list(F.struct("next", cut.alias("cut")))).alias("c"), F.max("unit").alias("unit"), F.max("free").alias("free"))
+    cuts = F.transform("c", lambda c: c["cut"]).cast(CUT)
+    return grouped.select("ctx", F.struct(cuts.alias("cuts"), "unit", F.col("free").cast("bigint").alias("free")).alias("choice"))
+
+
+def _shared(rows: DataFrame, ctx) -> DataFrame:
+    """Shares of the kept tokens, seen and unseen, add up to 1 again."""
+    total = F.sum("p").over(ctx) + F.col("free") * F.col("unit")
+    return rows.withColumn("_z", total).withColumns({"p": F.col("p") / F.col("_z"), "unit": F.col("unit") / F.col("_z")}).drop("_z")
+
+
+def unseen_choice(model: NgramModel, temperature: float = 1.0, p: float | None = None) -> Column:
+    """The choice of a context without counts: all tokens alike. Ties at the k-th stay, so top-k keeps all."""
+    free = 1 if temperature == 0 else model.vocab
+    if temperature and p is not None and 0.0 < p < 1.0:
+        free = max(1, int(p * model.vocab))
+    none = F.array().cast(CUT)
+    return F.struct(none.alias("cuts"), F.lit(1.0 / free).alias("unit"), F.lit(free).cast("bigint").alias("free"))
+
+
+def pick(choice: Column, u: Column, vocab: int) -> Column:
+    """Token whose slice holds ``u``: a binary search over the cuts, then the rank among the unseen tokens between two of them."""
+    cuts, size = choice["cuts"], F.size(choice["cuts"])
+    powers = [1 << b for b in range(max(vocab, 2).bit_length(), -1, -1)]
+
+    def narrow(low: Column, step: Column) -> Column:
+        return F.when((low + step <= size) & (F.get(cuts, low + step - 1)["hi"] <= u), low + step).otherwise(low)
+
+    passed = F.aggregate(F.array(*[F.lit(x) for x in powers]), F.lit(0), narrow)
+
+    def chosen(at: Column) -> Column:
+        here, before = F.get(cuts, at), F.get(cuts, at - 1)
+        first = F.coalesce(before["next"] + 1, F.lit(0))
+        rank = F.floor((u - F.coalesce(before["hi"], F.lit(0.0))) / choice["unit"]).cast("int")
+        last = F.coalesce(here["next"], F.lit(vocab)) - 1
+        unseen = F.least(first + rank, last, F.when(size == 0, choice["free"].cast("int") - 1))
+        return F.when(here["lo"] <= u, here["next"]).otherwise(unseen)
+
+    return let(passed, chosen)
 
 
 def _start_ids(prompt_ids: Column, block_size: int) -> Column:
@@ -240,11 +308,6 @@ def _start_ids(prompt_ids: Column, block_size: int) -> Column:
     return F.when(F.size(prompt_ids) == 0, F.array(F.lit(10))).otherwise(tail(prompt_ids, block_size))
 
 
-def _pick(cuts: Column, u: Column) -> Column:
-    """Token whose slice holds ``u``: the first with ``hi > u``."""
-    return F.get(F.filter(cuts, lambda c: c["hi"] > u), F.lit(0))["next"]
-
-
 def generate(
     prompts: DataFrame,
     model: NgramModel,
@@ -260,9 +323,9 @@ def generate(
 ) -> DataFrame:
     """``[key, sample, ids]``: up to ``max_new`` new tokens per prompt (column ``prompt_ids``).
 
-    A bounded order-2 model travels as one row per query (at most 65,536 slices), and
+    A bounded order-2 model travels as one row per query (at most 65,536 cuts), and
     every prompt is extended inside its own row, without a shuffle. Larger models use one
-    equi-join per step over all prompts.
+    equi-join per step over all prompts. Both draw by the same rule, unseen tokens and contexts included.
     """
     rows = prompts.select(
         key,
@@ -270,24 +333,24 @@ def generate(
         _start_ids(F.col("prompt_ids"), block_size).alias("start"),
     )
     table = generation_table(model, temperature, k, p)
+    unseen = unseen_choice(model, temperature, p)
     if model.bounded and model.order == 2:
-        return _generate_in_row(rows, table, max_new, key, seed, eos, model.vocab)
-    return _generate_by_join(rows, table, model, max_new, key, seed, eos)
+        return _generate_in_row(rows, table, unseen, max_new, key, seed, eos, model.vocab)
+    return _generate_by_join(rows, table, unseen, model, max_new, key, seed, eos)
 
 
-def _generate_in_row(rows, table, max_new, key, seed, eos, vocab):
-    per_ctx = table.groupBy("ctx").agg(F.array_sort(F.collect_list(F.struct("hi", "next"))).alias("cuts"))
-    whole = per_ctx.agg(F.map_from_entries(F.collect_list(F.struct("ctx", "cuts"))).alias("m"))
-    # one value: a slot per possible context, empty where the context was never seen
+def _generate_in_row(rows, table, unseen, max_new, key, seed, eos, vocab):
+    whole = table.agg(F.map_from_entries(F.collect_list(F.struct("ctx", "choice"))).alias("m"))
+    # one value: a slot per possible context
     slots = F.sequence(F.lit(0), F.lit(vocab - 1))
-    table = whole.select(F.transform(slots, lambda c: F.try_element_at("m", c.cast("bigint"))).alias("cuts")).scalar()
+    table = whole.select(F.transform(slots, lambda c: F.coalesce(F.try_element_at("m", c.cast("bigint")), unseen)).alias("choices")).scalar()
 
     def step(out: Column, i: Column) -> Column:
         last = F.coalesce(F.try_element_at(out, F.lit(-1)), F.try_element_at("start", F.lit(-1)))
         u = tx.uniform(F.lit(seed), key, "sample", i)
-        nxt = let(u, lambda x: _pick(F.get("_table", last), x))
+        nxt = let(u, lambda x: pick(F.get("_table", last), x, vocab))
         done = F.lit(False) if eos is None else F.coalesce(F.try_element_at(out, F.lit(-1)) == eos, F.lit(False))
-        return F.when(done, out).otherwise(let(nxt, lambda n: F.when(n.isNull(), out).otherwise(F.concat(out, F.array(n)))))
+        return F.when(done, out).otherwise(let(nxt, lambda n: F.concat(out, F.array(n))))
 
     steps = F.sequence(F.lit(0), F.lit(max_new - 1))
     empty = F.array().cast("array<int>")
@@ -295,35 +358,33 @@ def _generate_in_row(rows, table, max_new, key, seed, eos, vocab):
     return rows.withColumn("_table", table).select(key, "sample", F.col("start").alias("prompt_ids"), new.alias("new_ids"))
 
 
-def _generate_by_join(rows, table, model, max_new, key, seed, eos):
+def _generate_by_join(rows, table, unseen, model, max_new, key, seed, eos):
     def context(seq: Column) -> Column:
         ctx = F.lit(0).cast("bigint")
         for back in range(model.order - 1, 0, -1):
             ctx = ctx * model.vocab + F.coalesce(F.get(seq, F.size(seq) - back), F.lit(0)).cast("bigint")
         return ctx
 
-    # the only per-context array: at most ``vocab`` slices
-    cuts = table.groupBy("ctx").agg(F.array_sort(F.collect_list(F.struct("hi", "next"))).alias("cuts"))
-    cuts = cut_lineage(cuts)
+    table = cut_lineage(table)
     state = rows.select(
         key, "sample", F.col("start").alias("prompt_ids"), F.array().cast("array<int>").alias("new_ids"), F.lit(False).alias("done")
     )
     for i in range(max_new):
-        # finished rows carry no context and find no match. One reference to ``state`` per step, and
-        # a direct shuffle on both sides, so adaptive execution can split a hot context.
-        live = state.withColumn("ctx", F.when(~F.col("done"), context(F.concat("prompt_ids", "new_ids"))))
-        joined = live.join(cuts, "ctx", "left")
+        # finished rows get contexts that no model has, all different, and find no match. One reference to ``state`` per
+        # step, and a direct shuffle on both sides, so adaptive execution can split a hot context.
+        ended = F.lit(-1).cast("bigint") - F.pmod(F.xxhash64(key, "sample"), F.lit(1 << 40))
+        live = state.withColumn("ctx", F.when(F.col("done"), ended).otherwise(context(F.concat("prompt_ids", "new_ids"))))
+        joined = live.join(table, "ctx", "left").withColumn("choice", F.coalesce("choice", unseen))
         u = tx.uniform(F.lit(seed), key, "sample", F.lit(i))
-        joined = joined.withColumn("nxt", let(u, lambda x: _pick(F.col("cuts"), x)))
+        joined = joined.withColumn("nxt", let(u, lambda x: pick(F.col("choice"), x, model.vocab)))
         nxt = F.col("nxt")
-        stop = F.col("done") | nxt.isNull()
-        ended = F.lit(False) if eos is None else F.coalesce(nxt == eos, F.lit(False))
+        over = F.lit(False) if eos is None else nxt == eos
         state = joined.select(
             key,
             "sample",
             "prompt_ids",
-            F.when(stop, F.col("new_ids")).otherwise(F.concat("new_ids", F.array(nxt))).alias("new_ids"),
-            (stop | ended).alias("done"),
+            F.when(F.col("done"), F.col("new_ids")).otherwise(F.concat("new_ids", F.array(nxt))).alias("new_ids"),
+            (F.col("done") | over).alias("done"),
         )
         if i % 8 == 7:
             state = cut_lineage(state)

@@ -18,6 +18,7 @@ from .sequences import SEED, stream_of
 TEMPERATURE = 0.8
 EVAL_BATCHES, EVAL_ROWS, EVAL_BLOCK = 20, 16, 64
 MAX_NEW = 24
+TRIGRAM_NEW = 16
 SFT_SIZE, DPO_SIZE = 256, 512
 
 
@@ -134,6 +135,21 @@ def lm_generate_greedy(spark, root):
     return out.select("pair_id", F.array_join(F.col("new_ids").cast("array<string>"), ",").alias("new_ids"))
 
 
+def _trigram_model(spark, root):
+    docs = t.documents(spark, root, "text").select(tx.byte_ids("text").alias("ids"))
+    return ng.fit_ngram(docs, order=3)
+
+
+def lm_fit_trigram(spark, root):
+    return _trigram_model(spark, root).counts.select(big("ctx").alias("ctx"), big("next").alias("next"), big("n").alias("n"))
+
+
+def lm_generate_trigram(spark, root):
+    """Unseen tokens and contexts drawn from a model that is too large for one table of all tokens."""
+    out = ng.generate(_prompts(spark, root), _trigram_model(spark, root), TRIGRAM_NEW, "pair_id", temperature=1.2, p=0.95, seed=SEED)
+    return out.select("pair_id", F.array_join(F.col("new_ids").cast("array<string>"), ",").alias("new_ids"))
+
+
 def lm_ppl(spark, root):
     docs = t.documents(spark, root, "lang", "text").select("lang", tx.byte_ids("text").alias("ids"))
     out = ng.cross_entropy(docs, tr.corpus_model(spark, root), "lang")
@@ -144,7 +160,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         lm_fit, lm_logits, lm_gather, lm_nll, lm_eval, lm_seq_logp, lm_topk, lm_topp, lm_sample, lm_generate,
-        lm_generate_greedy, lm_ppl,
+        lm_generate_greedy, lm_fit_trigram, lm_generate_trigram, lm_ppl,
     )
 }
 
@@ -202,7 +218,35 @@ cut as (select floor(n * 0.9::double)::bigint as c, n from tot),
 halves as (select 'train' as split, pos, token from stream where pos < (select c from cut)
            union all select 'val', pos - (select c from cut), token from stream where pos >= (select c from cut))"""
 
+_TRI = f"""{DOC_BYTES},
+tri as (select ('0x' || h[i])::bigint * 256 + ('0x' || h[i+1])::bigint as ctx, ('0x' || h[i+2])::bigint as next, count(*) as n
+        from (select h, unnest(range(1, len(h) - 1)) as i from doc_hex) group by all)"""
+
 ORACLE = {
+    "lm_fit_trigram": with_(_TRI) + "select ctx, next, n from tri",
+    "lm_generate_trigram": with_(SFT_ITEMS, _TRI)
+    + f""", full_ as (
+  select c.ctx, v.next::bigint as next, (ln((coalesce(t.n, 0) + 1.0::double) / (c.total + 256.0::double)) / 1.2::double) as logit
+  from (select ctx, sum(n)::double as total from tri group by ctx) c cross join range(256) v(next)
+  left join tri t on t.ctx = c.ctx and t.next = v.next),
+full_p as (select ctx, next, logit, e / sum(e) over (partition by ctx) as p
+           from (select *, exp(logit - max(logit) over (partition by ctx)) as e from full_)),
+full_k as (select ctx, next, p / sum(p) over (partition by ctx) as p from (
+  select *, sum(p) over w as c, row_number() over w as r from full_p
+  window w as (partition by ctx order by logit desc, next rows between unbounded preceding and current row)) where r = 1 or c <= 0.95::double),
+{_cum('full_c', 'full_k')},
+cuts as materialized (select * from full_c),
+seen as materialized (select distinct ctx from tri),
+gen as (
+  select pair_id, 0 as step, b[-2]::bigint * 256 + b[-1] as ctx, []::bigint[] as out, false as done
+  from (select pair_id, {s_bytes(s_prompt('prompt'))} as b from sft_items)
+  union all
+  select pair_id, step + 1, (ctx % 256) * 256 + tok, list_append(out, tok), tok = 1 from (
+    select gen.*, coalesce(c.next, case when s.ctx is null then floor({s_uniform(repr(str(SEED)), 'pair_id', "'0'", 'step')} * 243)::bigint end) as tok
+    from gen left join cuts c on c.ctx = gen.ctx
+       and {s_uniform(repr(str(SEED)), 'pair_id', "'0'", 'step')} >= c.lo and {s_uniform(repr(str(SEED)), 'pair_id', "'0'", 'step')} < c.hi
+    left join seen s on s.ctx = gen.ctx where step < {TRIGRAM_NEW} and not done))
+select pair_id, array_to_string(arg_max(out, step), ',') as new_ids from gen group by pair_id""",
     "lm_fit": with_(DOC_PAIRS) + "select ctx::bigint as ctx, next::bigint as next, count(*) as n from doc_pairs group by ctx, next",
     "lm_logits": with_(_DIST) + f"select ctx::bigint as ctx, next::bigint as next, {s_r6('ln(p)')} as logp from dist",
     "lm_gather": with_(SFT_ITEMS, CORPUS_LM)

@@ -110,7 +110,7 @@ def test_generation_in_row_equals_generation_by_join(spark):
     options = dict(max_new=10, key="id", temperature=0.8, k=6, p=0.9, seed=3, group_size=2)
     fast = ngram.generate(prompts, model, **options)
     start = prompts.select("id", F.explode(F.array(F.lit(0), F.lit(1))).alias("sample"), ngram._start_ids(F.col("prompt_ids"), 256).alias("start"))
-    slow = ngram._generate_by_join(start, ngram.generation_table(model, 0.8, 6, 0.9), model, 10, "id", 3, 1)
+    slow = ngram._generate_by_join(start, ngram.generation_table(model, 0.8, 6, 0.9), ngram.unseen_choice(model, 0.8, 0.9), model, 10, "id", 3, 1)
     assert sorted(map(str, fast.collect())) == sorted(map(str, slow.collect()))
     assert {r["id"]: len(r["prompt_ids"]) for r in fast.collect()} == {1: 2, 2: 1, 3: 256}
     stop = ngram.generate(prompts, model, 10, "id", temperature=0, eos=ord("a")).filter("id = 3").first()["new_ids"]
