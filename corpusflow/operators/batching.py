@@ -6,32 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_key
-from ..plans.scan import ordinal, ordinal_by
+from ..plans.scan import ranked
+from ..plans.storage import cut_lineage
 
 
 def curriculum(df: DataFrame, prompt: str, key: str) -> DataFrame:
     """Shortest prompts first, ties by key: ``[key, prompt_len, rank]`` (rank from 0)."""
     sized = df.select(F.length(prompt).cast("bigint").alias("prompt_len"), key)
-    return ordinal_by(sized, "prompt_len", key, "rank")
+    return ranked(sized, "prompt_len", tie=[key], name="rank").select(key, "prompt_len", "rank")
 
 
 def batches(df: DataFrame, n: int, key: str, drop_last: bool = True, seed: int | None = None) -> DataFrame:
     """Fixed-size batches ``[key, batch, slot]`` in key order, or shuffled by a seeded hash."""
     if seed is None:
-        placed = ordinal(df, key)
+        placed = ranked(df, key, size="_size")
     else:
-        placed = ordinal(df.select(hash_key(F.lit(seed), key).alias("_h"), key), "_h", (), [key]).drop("_h")
-    out = placed.select(key, F.floor(F.col("ord") / n).alias("batch"), (F.col("ord") % n).alias("slot"))
+        placed = ranked(df.select(hash_key(F.lit(seed), key).alias("_h"), key), "_h", tie=[key], size="_size")
     if drop_last:
-        size = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-        out = out.filter(F.col("batch") < F.floor(size / n))
-    return out
+        placed = placed.filter(F.floor(F.col("ord") / n) < F.floor(F.col("_size") / n))
+    return placed.select(key, F.floor(F.col("ord") / n).alias("batch"), (F.col("ord") % n).alias("slot"))
 
 
 def cyclic_batches(df: DataFrame, n: int, steps: int, key: str) -> DataFrame:
     """Step ``s`` takes batch ``s mod ceil(N / n)``: ``[step, slot, key]``; the last batch may be short."""
-    placed = batches(df, n, key, drop_last=False)
-    size = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    placed = cut_lineage(batches(df, n, key, drop_last=False))
+    size = F.lit(placed.count())
     turns = df.sparkSession.range(steps).select(
         F.col("id").alias("step"), (F.col("id") % F.ceil(size / n)).alias("batch")
     )
@@ -44,8 +43,8 @@ def mod_batches(df: DataFrame, n: int, steps: int, key: str) -> DataFrame:
     When the end wraps to or below the start the range is empty and the step gets the
     first ``n`` rows instead; this is how the rollout loop being matched behaves.
     """
-    placed = ordinal(df, key)
-    size = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    placed = cut_lineage(ranked(df, key))
+    size = F.lit(placed.count())
     step = df.sparkSession.range(steps).select(
         F.col("id").alias("step"), ((F.col("id") * n) % size).alias("a"), (((F.col("id") + 1) * n) % size).alias("b")
     )

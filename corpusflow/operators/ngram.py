@@ -126,7 +126,7 @@ def score_transitions(rows: DataFrame, model: NgramModel, out: str = "logp", sal
     totals = model.totals()
     known = attach(rows, totals, ["ctx"], "total", salt, how="left")
     counts = model.counts
-    scored = attach(known, counts, ["ctx", "next"], "n", salt, how="left")
+    scored = attach(known, counts, ["ctx", "next"], "n", salt, how="left", written=True)
     return scored.withColumn(out, model.logp(F.col("n"), F.col("total"))).drop("n", "total")
 
 

@@ -64,13 +64,13 @@ def _normalised(x: Column, mean: Column, std: Column) -> Column:
 def normalize_adv(df: DataFrame, adv: str = "adv", out: str = "adv_norm", key: str | None = None, salt_by: tuple[str, ...] = ()) -> DataFrame:
     """(adv - mean) / max(std, 1e-6) with the unbiased std, over the table or per ``key``.
 
-    Whole-table statistics are one scalar subquery. Per key they are a pre-aggregated table
+    Whole-table statistics are two numbers, computed first. Per key they are a pre-aggregated table
     joined back with hot keys split.
     """
     stats = [F.avg(adv).alias("_mean"), F.stddev_samp(adv).alias("_std"), F.count(F.lit(1)).alias("_n")]
     if key is None:
-        one = df.agg(F.struct(*stats[:2]).alias("s")).scalar()
-        return df.withColumn(out, _normalised(F.col(adv), one["_mean"], one["_std"]))
+        one = df.agg(*stats[:2]).first()
+        return df.withColumn(out, _normalised(F.col(adv), F.lit(one["_mean"]).cast("double"), F.lit(one["_std"]).cast("double")))
     joined = attach(df, df.groupBy(key).agg(*stats), [key], "_n", list(salt_by) or df.columns)
     return joined.withColumn(out, _normalised(F.col(adv), F.col("_mean"), F.col("_std"))).drop("_mean", "_std", "_n")
 

@@ -10,11 +10,14 @@ follows from the key being unique per group and holds for any skew.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .storage import cut_lineage
+
 DIGIT = 21
 
 _AGGREGATE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
@@ -90,6 +93,38 @@ def ordinal(
     return out.withColumn(name, F.col(name) - 1)
 
 
+def ranked(
+    df: DataFrame, key: str, group: Sequence[str] = (), tie: Sequence[str] = (), name: str = "ord", size: str | None = None
+) -> DataFrame:
+    """``group + [key] + tie + [name]`` and the group's row count as ``size``: positions from one sorted, written key table.
+
+    The keys alone are range-partitioned by (group, key, tie), sorted and written once. A row's place in its partition then
+    needs only the rows its group has in earlier partitions: one small row per group and partition, summed over at most
+    as many rows as there are partitions. A hot group is spread over as many partitions as it fills. The plan reads the key table
+    twice, whatever was computed to get it. Rows that share all of the order are numbered in some order.
+    """
+    group = list(group)
+    order = [*group, key, *tie]
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(*order).repartitionByRange(width, *order).sortWithinPartitions(*order)
+    keys = cut_lineage(keys.withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))
+    pieces = keys.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    if group:
+        whole = Window.partitionBy(*group)
+        before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+        pieces = pieces.select(*group, "_part", shift.alias("_shift"), F.sum("_n").over(whole).alias("_size"))
+    else:
+        rows = sorted(pieces.collect())  # one for each partition
+        ends = list(accumulate(r["_n"] for r in rows))
+        shifts = [(r["_part"], end - r["_n"] - r["_first"], ends[-1]) for r, end in zip(rows, ends)]
+        pieces = F.broadcast(spark.createDataFrame(shifts, "_part long, _shift long, _size long"))
+    out = keys.join(pieces, [*group, "_part"])
+    extra = [F.col("_size").alias(size)] if size else []
+    return out.select(*order, (F.col("_at") + F.col("_shift")).alias(name), *extra)
+
+
 def ordinal_by(df: DataFrame, major: str, minor: str, name: str = "ord") -> DataFrame:
     """Position in ``(major, minor)`` order when many rows share one ``major``.
 

@@ -17,6 +17,8 @@ def build_session(master: str | None = None, app: str = "corpusflow", **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # a checkpoint goes when nothing refers to it any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:

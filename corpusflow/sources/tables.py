@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..plans.layout import spread
-from ..plans.scan import ordinal
+from ..plans.scan import ordinal, ranked
+from ..plans.storage import cut_lineage
 
 PAIR_STEP = 10_000_019
 
@@ -29,11 +30,11 @@ def pair_number(conv: str, turn: str) -> Column:
 def sft_pairs(spark: SparkSession, root: str) -> DataFrame:
     """User turn, following assistant turn, and a preceding system turn as input.
 
-    Turn order comes from a bounded scan; neighbours meet in one shuffle on the
+    Turn order comes from a written key table; neighbours meet in one shuffle on the
     unique (conv_id, ord), so a conversation of any length spreads over tasks.
     """
     turns = table(spark, root, "conversations")
-    turns = turns.join(ordinal(turns, "turn", ["conv_id"]), ["conv_id", "turn"])
+    turns = turns.join(ranked(turns, "turn", ["conv_id"]), ["conv_id", "turn"])
     row = F.struct("turn", "role", "text")
     seats = F.array(
         F.struct(F.col("ord").alias("at"), F.lit(0).alias("seat"), row.alias("row")),
@@ -71,11 +72,9 @@ def sft_items(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pref_pairs(spark: SparkSession, root: str, buckets: int = 8) -> DataFrame:
-    """Chosen = the reply; rejected = the next reply of the same bucket, wrapping round."""
-    pairs = sft_pairs(spark, root).withColumn("bucket", F.pmod("pair_id", F.lit(buckets)))
-    seat = ordinal(pairs.select("bucket", "pair_id"), "pair_id", ["bucket"])
-    sizes = seat.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))  # at most ``buckets`` rows
-    seat = seat.join(F.broadcast(sizes), "bucket")
+    """Chosen = the reply; rejected = the next reply of the same bucket, wrapping round. Pairs are written once."""
+    pairs = cut_lineage(sft_pairs(spark, root).withColumn("bucket", F.pmod("pair_id", F.lit(buckets))))
+    seat = ranked(pairs, "pair_id", ["bucket"], size="n")
     here = pairs.join(seat, ["bucket", "pair_id"])
     other = here.select(
         "bucket",

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as tx
 from ..operators import ngram
+from ..plans.storage import cut_lineage
 from . import tables as t
 
 
@@ -65,9 +66,13 @@ def sequences(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def traj_tokens(spark: SparkSession, root: str) -> DataFrame:
-    """One row per token with a full context; the three log-probs come from one broadcast table."""
-    rows = sequences(spark, root).select(
+def traj_tokens(spark: SparkSession, root: str, seqs: DataFrame | None = None) -> DataFrame:
+    """One row per token with a full context; the three log-probs come from one broadcast table.
+
+    Sequences and the table are written once: what normalises over all tokens reads them twice.
+    """
+    seqs = cut_lineage(sequences(spark, root)) if seqs is None else seqs
+    rows = seqs.select(
         "traj_id",
         "prompt_id",
         "boundary",
@@ -79,7 +84,7 @@ def traj_tokens(spark: SparkSession, root: str) -> DataFrame:
         "traj_id", "prompt_id", "boundary", "reward", "seq_len",
         F.col("t.pos").alias("pos"), F.col("t.ctx").alias("ctx"), F.col("t.next").alias("next"),
     )
-    scored = rows.join(F.broadcast(policy_tables(spark, root)), ["ctx", "next"])
+    scored = rows.join(F.broadcast(cut_lineage(policy_tables(spark, root))), ["ctx", "next"])
     return scored.select(
         "traj_id",
         "prompt_id",
@@ -95,6 +100,6 @@ def traj_tokens(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def action_rows(spark: SparkSession, root: str) -> DataFrame:
+def action_rows(spark: SparkSession, root: str, seqs: DataFrame | None = None) -> DataFrame:
     """Response tokens only: the action positions of every trajectory."""
-    return traj_tokens(spark, root).filter(F.col("is_response"))
+    return traj_tokens(spark, root, seqs).filter(F.col("is_response"))

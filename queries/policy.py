@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.operators import policy as po
+from corpusflow.plans.storage import cut_lineage
 from corpusflow.sources import tables as t
 from corpusflow.sources import trajectories as tr
 
@@ -96,13 +97,14 @@ def po_group_eps(spark, root):
     return _grouped(spark, root, "eps")
 
 
-def _traj_adv(spark, root, mode="center"):
-    trajs = tr.sequences(spark, root).select("traj_id", "prompt_id", "reward", "response")
+def _traj_adv(seqs, mode="center"):
+    trajs = seqs.select("traj_id", "prompt_id", "reward", "response")
     return po.group_advantage(trajs, mode, salt_by=("traj_id",))
 
 
 def _broadcast(spark, root):
-    return po.adv_to_tokens(_actions(spark, root), _traj_adv(spark, root))
+    seqs = cut_lineage(tr.sequences(spark, root))
+    return po.adv_to_tokens(tr.action_rows(spark, root, seqs), _traj_adv(seqs))
 
 
 def po_broadcast(spark, root):
@@ -115,8 +117,9 @@ def po_grpo(spark, root):
 
 
 def po_grpo_seq(spark, root):
-    sums = _actions(spark, root).groupBy("traj_id").agg(F.sum("new_logp").alias("logp"), F.sum("ref_logp").alias("ref_logp"))
-    rows = _traj_adv(spark, root, "clamp").select("traj_id", "prompt_id", "adv").join(sums, "traj_id")
+    seqs = cut_lineage(tr.sequences(spark, root))
+    sums = tr.action_rows(spark, root, seqs).groupBy("traj_id").agg(F.sum("new_logp").alias("logp"), F.sum("ref_logp").alias("ref_logp"))
+    rows = _traj_adv(seqs, "clamp").select("traj_id", "prompt_id", "adv").join(sums, "traj_id")
     return po.grpo_sequence_loss(rows, KL_COEF).select("prompt_id", r6("loss").alias("loss"), "n")
 
 
@@ -146,15 +149,16 @@ _SHAPED = f"""{TRAJ},
 shaped as (select *, case when pos = seq_len - 1 then reward else 0.0::double end - {KL_COEF}::double * (old_logp - ref_logp) as sh from act),
 advs as materialized (select *, sh - value as adv from shaped)"""
 _NORM = f"""{_SHAPED},
-normed as (select advs.*, (adv - (select avg(adv) from advs)) / greatest((select stddev_samp(adv) from advs), 1e-6) as adv_norm from advs)"""
+normed as (select *, (adv - avg(adv) over ()) / greatest(stddev_samp(adv) over (), 1e-6) as adv_norm
+           from (select traj_id, pos, new_logp, old_logp, value, sh, adv from advs))"""
 _SAMPLES = """samples as (select user_id || '-' || strftime(ts, '%Y-%m-%d') as prompt_id, event_id, value as reward, event_type as response from events),
 gst as (select prompt_id, avg(reward) as gm, stddev_samp(reward) as gs, count(*) as n from samples group by prompt_id)"""
 _TADV = f"""{TRAJ},
 tadv as (select traj_id, prompt_id, reward - avg(reward) over (partition by prompt_id) as c,
   case when count(*) over (partition by prompt_id) > 1 then
     (reward - avg(reward) over (partition by prompt_id)) / greatest(stddev_samp(reward) over (partition by prompt_id), 1e-6) end as z from seqs),
-tok as materialized (select act.*, tadv.c as adv from act join tadv on tadv.traj_id = act.traj_id),
-tokn as (select tok.*, (adv - (select avg(adv) from tok)) / greatest((select stddev_samp(adv) from tok), 1e-6) as adv_norm from tok)"""
+tok as (select act.traj_id, pos, new_logp, old_logp, ref_logp, tadv.c as adv from act join tadv on tadv.traj_id = act.traj_id),
+tokn as (select *, (adv - avg(adv) over ()) / greatest(stddev_samp(adv) over (), 1e-6) as adv_norm from tok)"""
 
 
 def _group_sql(adv: str) -> str:

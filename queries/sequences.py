@@ -8,6 +8,7 @@ from corpusflow.functions import arrays as ar
 from corpusflow.functions import text as tx
 from corpusflow.operators import batching as bt
 from corpusflow.operators import sequences as sq
+from corpusflow.plans.storage import cut_lineage
 from corpusflow.sources import tables as t
 
 from .kit import (
@@ -115,8 +116,9 @@ def rollouts(spark, root):
         F.size("prompt_ids").alias("boundary"),
         (F.size("response_ids") % 17 - 8).alias("reward"),
     )
+    rows = cut_lineage(rows)
     batch = bt.batches(rows, BATCH, "pair_id", drop_last=False).select("pair_id", "batch")
-    return sq.pad_rollouts(rows.join(batch, "pair_id"), 1024)
+    return sq.pad_rollouts(cut_lineage(rows.join(batch, "pair_id")), 1024)
 
 
 def seq_rollout_pad(spark, root):

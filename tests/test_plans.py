@@ -48,6 +48,30 @@ def test_ordinal_by_handles_a_hot_major(spark):
     assert got == {row: i for i, row in enumerate(sorted(rows))}
 
 
+@pytest.mark.parametrize("group", [["g"], []])
+def test_ranked_equals_sorting(spark, group):
+    rng = random.Random(7)
+    rows = [(rng.choice("aaaaaab"), k, rng.randint(0, 3)) for k in rng.sample(range(-5000, 5000), 700)]
+    df = spark.createDataFrame(rows, "g string, k long, t int").repartition(6)
+    got = scan.ranked(df, "k", group, ["t"], "at", "n").collect()
+    expected = {}
+    for g in {r[0] if group else None for r in rows}:
+        held = sorted((k, t) for x, k, t in rows if not group or x == g)
+        expected |= {(k, t): (i, len(held)) for i, (k, t) in enumerate(held)}
+    assert {(r["k"], r["t"]): (r["at"], r["n"]) for r in got} == expected and len(got) == len(rows)
+    assert scan.ranked(df.limit(0), "k", group).collect() == []
+
+
+# planned scans of queries over the shared views, which are written once
+SCANS = {"rw_bt": 8, "src_prefs": 8, "ev_f1": 8, "po_grpo": 12, "po_ppo": 6, "po_dpo": 10, "seq_rollout_pad": 4, "seq_batch": 4}
+
+
+@pytest.mark.parametrize("name", SCANS)
+def test_shared_views_are_planned_once(spark, name):
+    plan = contract.queries()[name](spark, ROOT)._jdf.queryExecution().executedPlan().toString()
+    assert 0 < len(re.findall(r"FileScan|Scan ExistingRDD", plan)) <= SCANS[name]
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_attach_splits_hot_keys_without_changing_rows(spark, how):
     rows = spark.range(1000).select("id", F.when(F.col("id") < 700, 1).otherwise(F.col("id") % 10 + 2).alias("k"))
