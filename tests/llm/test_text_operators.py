@@ -154,6 +154,48 @@ def test_files_read_back(spark, odd, none):
     assert token_files.stored(none).count() == 0
 
 
+def expected_places(rows):
+    """``{(doc_id, start): (n_tokens, crc32)}`` with the library's ids, rows in order of id and text hash."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(token_files.default_tokenizer())
+    start, out = 0, {}
+    for r in rows:
+        ids = whole.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        out[(r["doc_id"], start)] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    return out
+
+
+def test_every_place_and_checksum(spark, odd):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    again = docs.filter("doc_id % 40 = 0").select("doc_id", "text")
+    no_id = docs.limit(30).select(F.lit(None).cast("long").alias("doc_id"), "text")
+    mixed = spark.createDataFrame([(900, "Ünïque ÉÈ ß×÷ x÷y 12a3 don't İx a\u0301b ǅ ŉ <|endoftext|>"), (901, "\x00\x1c a\x7f!b")], "doc_id long, text string")
+    for table in (docs.select("doc_id", "text"), docs.select("doc_id", "text").union(again).union(again).union(no_id).union(no_id).union(mixed), odd):
+        rows = table.orderBy(F.asc_nulls_first("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))).select("doc_id", "text").collect()
+        found = token_files.stored(table).collect()
+        assert len(found) == len(rows)
+        assert {(r["doc_id"], r["start"]): (r["n_tokens"], r["ids_crc32"]) for r in found} == expected_places(rows)
+
+
+def test_other_tokenizers_keep_words_whole(odd, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    config = json.loads(open(token_files.default_tokenizer()).read())
+    config["normalizer"]["normalizers"] = config["normalizer"]["normalizers"][:2]  # case stays
+    path = str(tmp_path / "cased.json")
+    open(path, "w").write(json.dumps(config))
+    encoder = token_files.Encoder(path)
+    assert not encoder.cuts and token_files.Encoder(token_files.default_tokenizer()).cuts
+    texts = ["One TWO three", "don't"]
+    ids, at = encoder.encode(pa.array(texts), 2)
+    whole = Tokenizer.from_file(path)
+    assert [ids[at[i] : at[i + 1] - 1].tolist() for i in range(2)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_file_layout(spark):
     docs = spark.createDataFrame([(i, f"word{i % 7} and more text {i}") for i in range(6000)], "doc_id long, text string")
     path = scratch_path(spark, "tokens-layout")
