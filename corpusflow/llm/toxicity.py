@@ -4,8 +4,10 @@ Features are the distinct n-grams (3 to 5 characters, lower case) of a whole tex
 cell compares the shares of toxic and other training documents that hold it; ``PRIOR`` pseudo-documents split
 as the classes are keep rare cells near zero. A logistic model then learns one weight per cell on the ratios.
 
-The fit takes at most ``FIT_ROWS`` labelled documents, those with the smallest hash of the id; ratios are counted by Spark,
-the weights are fitted on the driver from cells of ``LEAST_DOCS`` documents or more whose ratio is at least ``LEAST_RATIO``. Scoring reads every whole text.
+The fit takes at most ``FIT_ROWS`` labelled documents of ``FIT_CHARS`` characters in all, drawn by the hash of the id: toxic ones up to half
+of the rows, then others; the base rate is corrected for that. Ratios are counted by Spark over all of them. Cells that are not
+``e`` times likelier in one class (``LEAST_RATIO``) carry no weight, however frequent; rare ones are left to the prior. The weights are
+fitted on the driver, which holds four bytes for each feature of the sample that has one. Scoring reads every whole text.
 
 Edge cases: null and empty texts have no features and get the base rate; a null label is no label; a document labelled
 more than once counts with its largest label; without labels of both kinds every score is 0. Repeated rows are scored
@@ -26,12 +28,13 @@ from .common import carried, fold, text_in
 
 CELLS_LOG2 = 20
 ORDERS = (3, 4, 5)
-FIT_ROWS = 16_000
+FIT_ROWS = 8_000
+FIT_CHARS = 16_000_000
 PRIOR = 10.0
 LEAST_RATIO = 1.0
-LEAST_DOCS = 6
 PENALTY = 3e-2
 STEPS = 80
+FIT_CELLS = 1 << 22  # features of one pass of the fit
 CHUNK = 1 << 20
 
 
@@ -73,13 +76,32 @@ class Features:
         return np.concatenate(found) if found else np.zeros(0, np.uint32)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS) -> DataFrame:
-    """``[_text, _label]`` of at most ``rows`` labelled documents; the list of ids is bounded, so it is broadcast."""
-    chosen = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
-    chosen = chosen.filter(F.col("_id").isNotNull() & F.col("_label").isNotNull()).groupBy("_id").agg(F.max("_label").alias("_label"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(rows)
+def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> DataFrame:
+    """``[_text, _label, _shift]`` of the sample; ``_shift`` is what the drawing by label adds to the log odds.
+
+    The list of ids is bounded, so it is broadcast.
+    """
+    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
+    known = known.filter(F.col("_id").isNotNull() & F.col("_label").isNotNull()).groupBy("_id").agg((F.max("_label") > 0).cast("int").alias("_label"))
+    known = cut_lineage(known)
+    order = [F.xxhash64("_id"), F.col("_id")]
+    sizes = dict(known.groupBy("_label").count().collect())
+    toxic = min(sizes.get(1, 0), max(rows // 2, rows - sizes.get(0, 0)))
+    chosen = known.filter("_label = 1").orderBy(*order).limit(toxic).unionByName(known.filter("_label = 0").orderBy(*order).limit(rows - toxic))
     rows_of = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    return rows_of.join(F.broadcast(chosen), "_id").select("_text", "_label")
+    held = cut_lineage(rows_of.join(F.broadcast(chosen), "_id"))
+    # at most ``rows`` ids: texts are taken in hash order while the characters last, half of them for either label
+    lengths = held.select("_label", F.xxhash64("_id").alias("h"), F.coalesce(F.length("_text"), F.lit(0)).alias("n")).orderBy("h").toPandas()
+    lengths["sum"] = lengths.groupby("_label")["n"].cumsum()
+    cuts = lengths[lengths["sum"] > chars // 2].groupby("_label")["h"].min() if lengths["n"].sum() > chars else {}
+    for value in (0, 1):
+        if value in cuts:
+            held = held.filter((F.col("_label") != value) | (F.xxhash64("_id") < int(cuts[value])))
+    found = dict(held.groupBy("_label").count().collect())
+    shift = 0.0
+    if len(found) == 2 and len(sizes) == 2:
+        shift = float(np.log(sizes[1] / sizes[0]) - np.log(found[1] / found[0]))
+    return held.select("_text", "_label", F.lit(shift).alias("_shift"))
 
 
 def fit(samples: DataFrame) -> Model:
@@ -108,46 +130,49 @@ def fit(samples: DataFrame) -> Model:
     held = counts[counts["cell"] >= 0]
     prior = PRIOR * sizes / sizes.sum()
     shares = [(held[name].to_numpy(float) + prior[k]) / (sizes[k] + 2 * prior[k]) for k, name in enumerate(("others", "toxic"))]
-    ratio = np.zeros(1 << CELLS_LOG2, np.float32)
-    often = (held["others"] + held["toxic"]).to_numpy() >= LEAST_DOCS
-    ratio[held["cell"].to_numpy()] = np.where(often, np.log(shares[1] / shares[0]), 0)
+    ratio = np.zeros((1 << CELLS_LOG2) + 1, np.float32)  # the last cell stands for a text as such
+    ratio[held["cell"].to_numpy()] = np.log(shares[1] / shares[0])
     ratio[np.abs(ratio) < LEAST_RATIO] = 0
+
     sent = samples.sparkSession.sparkContext.broadcast(ratio)  # 4 MB
 
     def gather(batches):
         features = Features()
         for batch in batches:
-            rows = []
-            for text in batch.column("_text"):
-                cells = features.cells(text.as_py())
-                rows.append(cells[sent.value[cells] != 0].tobytes())
+            found = [features.cells(text.as_py()) for text in batch.column("_text")]
+            rows = [np.append(c[sent.value[c] != 0], np.uint32(1 << CELLS_LOG2)).astype(np.uint32).tobytes() for c in found]
             yield pa.RecordBatch.from_arrays([batch.column("_label"), pa.array(rows, pa.binary())], ["label", "cells"])
 
-    rows = samples.mapInArrow(gather, "label int, cells binary").toPandas()
-    fitted, base = _logistic([np.frombuffer(c, np.uint32) for c in rows["cells"]], rows["label"].to_numpy() > 0, ratio)
-    return Model(fitted, base, True)
-
-
-def _logistic(rows: list[np.ndarray], target: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Full-batch Adam on the cells that occur; each text is an extra row of one constant cell, so none is empty."""
-    flat = np.concatenate([np.zeros(0, np.uint32), *rows])
-    used, index = np.unique(flat, return_inverse=True)
-    scale = ratio[used]
-    lengths = np.array([len(r) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    weight, base = np.zeros(len(used)), float(np.log(target.mean() / (1 - target.mean())))
-    m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
-    values = scale[index].astype(np.float64)
+    shift = samples.first()["_shift"]
+    labels, parts, lengths = [], [], []
+    for row in samples.mapInArrow(gather, "label int, cells binary").toLocalIterator():
+        labels.append(row["label"] > 0)
+        parts.append(np.frombuffer(row["cells"], np.uint32))
+        lengths.append(len(parts[-1]))
+    fitted, base = _logistic(np.concatenate(parts), np.array(lengths), np.array(labels), ratio)
+    return Model(fitted, base + shift, True)
+
+
+def _logistic(cells: np.ndarray, lengths: np.ndarray, target: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Full-batch Adam; the features of all texts lie end to end, and a pass takes the texts of about ``FIT_CELLS`` of them."""
+    stops = np.cumsum(lengths)
+    groups = np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(stops // FIT_CELLS)) + 1)
+    spans = [(g, int(stops[g[0]] - lengths[g[0]]), int(stops[g[-1]])) for g in groups]
+    weight, base = np.zeros(len(ratio)), float(np.log(target.mean() / (1 - target.mean())))
+    m, v = np.zeros(len(ratio) + 1), np.zeros(len(ratio) + 1)
+    error = np.zeros(len(target))
     for step in range(1, STEPS + 1):
-        logit = np.bincount(owner, weight[index] * values, len(rows)) + base
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) / len(rows)
-        slope = np.append(np.bincount(index, error[owner] * values, len(used)) + PENALTY * weight, error.sum())
+        scaled, slope = (weight * ratio).astype(np.float32), np.zeros(len(ratio))
+        for texts, begin, end in spans:
+            here = cells[begin:end]
+            logit = np.add.reduceat(scaled[here], stops[texts] - lengths[texts] - begin, dtype=np.float64) + base
+            error[texts] = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target[texts]) / len(target)
+            slope += np.bincount(here, np.repeat(error[texts], lengths[texts]), len(ratio))
+        slope = np.append(slope * ratio + PENALTY * weight, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         move = 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         weight, base = weight - move[:-1], base - move[-1]
-    out = np.zeros(len(ratio), np.float32)
-    out[used] = weight * scale
-    return out, base
+    return (weight * ratio)[:-1].astype(np.float32), base
 
 
 def score(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

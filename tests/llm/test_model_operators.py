@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -46,6 +47,65 @@ def test_toxicity_held_out(spark):
     assert ((found.score >= 0.5).astype(int) == found.predicted).all() and found.score.between(0, 1).all()
 
 
+def test_rare_toxic_words_are_learnt(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(800)]
+    docs = []
+    for i in range(1500):
+        text = [rng.choice(words) for _ in range(60)]
+        if i < 15:
+            text[rng.randrange(60)] = "blorgface" if i < 4 else "snurkhead"
+        docs.append((i, " ".join(text)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 15)) for i in range(1500)], "doc_id long, toxic int")
+    for rows in (8_000, 600):  # all rows, and a sample drawn by label
+        model = toxicity.fit(toxicity.labelled(table, labels, rows=rows))
+        scores = {r["_row"]["doc_id"]: r["score"] for r in toxicity.score(table, model).collect()}
+        assert all(scores[i] >= 0.5 for i in range(15)) and not any(scores[i] >= 0.5 for i in range(15, 1500))
+
+
+def test_toxicity_score_equals_plain_sums(spark):
+    """Ratios, weights and scores by plain loops over sets of cells."""
+    texts = ["you are a moron", "what a lovely day", "moron moron", "a day in the park", "lovely park", "such a moron day"] * 6
+    toxic = [1, 0, 1, 0, 0, 1] * 6
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.fit(toxicity.labelled(table, labels))
+    cells = [set(toxicity.Features().cells(t).tolist()) for t in texts]
+    n = [toxic.count(0), toxic.count(1)]
+    ratio = {}
+    for c in set.union(*cells):
+        share = []
+        for k in (0, 1):
+            prior = toxicity.PRIOR * n[k] / len(texts)
+            share.append((sum(c in h and t == k for h, t in zip(cells, toxic)) + prior) / (n[k] + 2 * prior))
+        r = np.log(share[1] / share[0])
+        ratio[c] = r if abs(r) >= toxicity.LEAST_RATIO else 0.0
+    weight, base = dict.fromkeys(ratio, 0.0), 0.0
+    m, v = dict.fromkeys([*ratio, "base"], 0.0), dict.fromkeys([*ratio, "base"], 0.0)
+    for step in range(1, toxicity.STEPS + 1):
+        error = [1 / (1 + np.exp(-(base + sum(weight[c] * ratio[c] for c in h)))) - t for h, t in zip(cells, toxic)]
+        slopes = {c: sum(e * ratio[c] for e, h in zip(error, cells) if c in h) / len(texts) + toxicity.PENALTY * weight[c] for c in ratio}
+        slopes["base"] = sum(error) / len(texts)
+        for c, s in slopes.items():
+            m[c], v[c] = 0.9 * m[c] + 0.1 * s, 0.99 * v[c] + 0.01 * s * s
+            move = 0.02 * (m[c] / (1 - 0.9**step)) / (np.sqrt(v[c] / (1 - 0.99**step)) + 1e-8)
+            if c == "base":
+                base -= move
+            else:
+                weight[c] -= move
+    found = {r["_row"]["doc_id"]: r["score"] for r in toxicity.score(table, model).collect()}
+    for i, h in enumerate(cells):
+        assert found[i] == pytest.approx(1 / (1 + np.exp(-(base + sum(weight[c] * ratio[c] for c in h)))), abs=1e-4)
+
+
+def test_toxicity_sample_is_bounded_in_characters(spark):
+    docs = spark.createDataFrame([(i, "word " * 100 * (1 + i % 3)) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    held = toxicity.labelled(docs, labels, chars=20_000).selectExpr("_label", "length(_text) as n").groupBy("_label").agg(F.sum("n").alias("n")).collect()
+    assert len(held) == 2 and all(0 < r["n"] <= 10_000 for r in held)
+
+
 def test_toxicity_edges(spark, odd, none, labels):
     model = toxicity.fit(toxicity.training_rows(odd, labels))
     scored = toxicity.score(odd, model)
