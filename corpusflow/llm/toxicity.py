@@ -144,12 +144,10 @@ def fit(samples: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("_label"), pa.array(rows, pa.binary())], ["label", "cells"])
 
     shift = samples.first()["_shift"]
-    labels, parts, lengths = [], [], []
-    for row in samples.mapInArrow(gather, "label int, cells binary").toLocalIterator():
-        labels.append(row["label"] > 0)
-        parts.append(np.frombuffer(row["cells"], np.uint32))
-        lengths.append(len(parts[-1]))
-    fitted, base = _logistic(np.concatenate(parts), np.array(lengths), np.array(labels), ratio)
+    rows = samples.mapInArrow(gather, "label int, cells binary").toPandas()  # FIT_ROWS texts of FIT_CHARS characters at most
+    parts = [np.frombuffer(c, np.uint32) for c in rows["cells"]]
+    lengths = np.array([len(c) for c in parts])
+    fitted, base = _logistic(np.concatenate(parts), lengths, rows["label"].to_numpy() > 0, ratio)
     return Model(fitted, base + shift, True)
 
 
