@@ -7,7 +7,7 @@ the tie rule (count, then smaller left id, then smaller right id) a plain sort.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -174,11 +174,11 @@ def _merge_word(word: str, ranks: dict[str, tuple[int, str]]) -> str:
     return word
 
 
-def bpe_encode(df: DataFrame, merges: DataFrame, text: str = "text", out: str = "ids", specials: Sequence[str] = SPECIALS) -> DataFrame:
-    """Token ids of each text. Splitting runs in the JVM; merging a word is remembered per task.
+def bpe_encoder(merges: DataFrame, specials: Sequence[str] = SPECIALS) -> Callable[[Column | str], Column]:
+    """Text to token ids as a column function, for every operator that takes ``encode=``.
 
-    The merge list has at most ``vocab_size`` rows and goes to the tasks with the function.
-    No row moves, so hot words cost nothing.
+    Splitting runs in the JVM; merging a word is remembered per task. The merge list has at most ``vocab_size`` rows and
+    goes to the tasks with the function. No row moves, so hot words cost nothing.
     """
     rules = merges.orderBy("rank").collect()  # at most vocab_size rows
     ranks: dict[str, tuple[int, str, str]] = {}
@@ -201,7 +201,12 @@ def bpe_encode(df: DataFrame, merges: DataFrame, text: str = "text", out: str =
         for batch in batches:
             yield batch.map(lambda pieces: None if pieces is None else [i for w in pieces for i in ids(w)])
 
-    return df.withColumn("_pieces", bpe_pieces(text, specials)).withColumn(out, encode("_pieces")).drop("_pieces")
+    return lambda text: encode(bpe_pieces(text, specials))
+
+
+def bpe_encode(df: DataFrame, merges: DataFrame, text: str = "text", out: str = "ids", specials: Sequence[str] = SPECIALS) -> DataFrame:
+    """Token ids of each text."""
+    return df.withColumn(out, bpe_encoder(merges, specials)(text))
 
 
 def bpe_decode(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "text", skip: int = len(SPECIALS)) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,8 +97,36 @@ def pair_codes(ids: Column | str, order: int = 2, vocab: int = BYTE_VOCAB) -> Co
     return F.when(F.size(ids) >= order, F.transform(spots, code))
 
 
+def _pair_counter(vocab: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(vocab * vocab, np.int64)
+        for batch in batches:
+            lists = batch.column("ids")
+            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+            ids = np.asarray(pc.fill_null(lists.flatten(), -1), np.int64)
+            if len(ids) < 2:
+                continue
+            codes = ids[:-1] * vocab + ids[1:]
+            inside = np.ones(len(ids) - 1, bool)
+            ends = np.cumsum(sizes[sizes > 0])[:-1]
+            inside[ends - 1] = False  # the last token of a text and the first of the next are no pair
+            known = (ids >= 0) & (ids < vocab)
+            inside &= known[:-1] & known[1:]
+            total += np.bincount(codes[inside], minlength=vocab * vocab)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["_code", "n"])
+
+    return run
+
+
 def count_transitions(df: DataFrame, *keys: str, order: int = 2, vocab: int = BYTE_VOCAB) -> DataFrame:
-    """``[keys.., ctx, next, n]`` from an ``ids`` column; counted inside each task before the shuffle."""
+    """``[keys.., ctx, next, n]`` from an ``ids`` column; counted inside each task before the shuffle.
+
+    Without keys and with at most ``BOUNDED_ROWS`` pairs a task adds its batches up in one array of all pairs.
+    """
+    if not keys and order == 2 and vocab**order <= BOUNDED_ROWS:
+        counted = df.select("ids").mapInArrow(_pair_counter(vocab), "_code long, n long").groupBy("_code").agg(F.sum("n").alias("n"))
+        return counted.select(F.expr(f"_code div {vocab}").alias("ctx"), (F.col("_code") % vocab).cast("int").alias("next"), "n")
     rows = df.select(*keys, F.explode(pair_codes("ids", order, vocab)).alias("_code"))
     counted = rows.groupBy(*keys, "_code").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(

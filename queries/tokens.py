@@ -97,7 +97,48 @@ _PRETOK = rf"""pre as (
           from (select unnest(regexp_extract_all(text, '[^\n]*\n|[^\n]+')) as line from documents)))
   group by word)"""
 
+# Bytes in vocabulary order, and a word as one character per token; characters sort like token ids.
+_SYMBOLS = """byte_order as (
+  select list_concat(range(33, 127), range(161, 173), range(174, 256), range(0, 33), range(127, 161), [173]) as o),
+sym as (select list(chr((256 + 5 + list_position(o, b) - 1)::int) order by b) as s from byte_order, range(256) r(b))"""
+
+
+def s_symbols(word: str) -> str:
+    return f"array_to_string(list_transform({s_bytes(word)}, lambda b: s[b + 1]), '')"
+
+
+# Every step counts the pairs of all words anew and merges the most frequent one (then the smallest ids).
+_TRAIN = f"""{_PRETOK}, {_SYMBOLS},
+rec(step, w, n, pair) as (
+  select 0, {s_symbols('word')}, n, null::varchar from pre, sym
+  union all
+  select step + 1, replace(w, p, chr(256 + 261 + step)), n, p from rec, (
+    select p from (select substr(w, i::bigint, 2) as p, sum(n) as c from (select w, n, unnest(range(1, length(w))) as i from rec) group by 1)
+    where c >= 2 order by c desc, p limit 1) where step < {BPE_VOCAB - 261}),
+merges as materialized (select distinct step - 1 as rank, pair from rec where step > 0)"""
+_MERGES = "select rank::int as rank, (unicode(pair[1]) - 256)::int as left, (unicode(pair[2]) - 256)::int as right, (261 + rank)::int as new_id from merges"
+# The same split without cutting lines first, in the order of the text.
+_DOC_WORDS = rf"""segs as (
+  select doc_id, unnest(range(1, len(g) + 1)) as j, unnest(g) as seg
+  from (select doc_id, string_split(regexp_replace(text, '([{_WS}])([^{_WS}])', chr(1) || '\1\2', 'g'), chr(1)) as g from documents)),
+doc_words as (
+  select doc_id, j, unnest(range(1, len(h) + 1)) as i, unnest(h) as word
+  from (select doc_id, j, regexp_extract_all(seg, '''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{L}}\p{{N}}{_WS}]+|[{_WS}]+') as h from segs))"""
+# Merges in the order they were learnt, each over all words at once.
+_ENCODED = f"""{_DOC_WORDS},
+apply(step, word, w) as (
+  select 0, word, {s_symbols('word')} from (select distinct word from doc_words), sym
+  union all
+  select step + 1, word, replace(w, pair, chr((256 + 261 + step)::int)) from apply join merges on rank = step),
+coded as (select word, w from apply where step = (select max(rank) + 1 from merges))"""
+
 ORACLE = {
+    "tok_bpe_train": f"with recursive {_TRAIN} {_MERGES}",
+    "tok_bpe_enc": f"""with recursive {_TRAIN}, {_ENCODED},
+ids as (select doc_id, string_agg(w, '' order by j, i) as w from doc_words join coded using (word) group by doc_id),
+lists as (select d.doc_id, list_transform(string_split(coalesce(w, ''), ''), lambda c: unicode(c) - 256) as l
+          from documents d left join ids on ids.doc_id = d.doc_id)
+select doc_id, (case when l = [-257] then 0 else len(l) end)::bigint as n_tokens, md5(array_to_string(l, ',')) as ids_md5 from lists""",
     "tok_pretok": f"with {_PRETOK} select word, n from pre",
     "tok_byte_enc": f"select doc_id, len(ids)::bigint as n_tokens, {s_digest('ids')} as ids_md5 from (select doc_id, {s_bytes('text')} as ids from documents)",
     "tok_byte_dec": "select doc_id, text from documents",

@@ -84,3 +84,11 @@ def test_byte_and_join_paths_agree_on_text(spark):
     table = ngram.generation_table(model, 1.4)
     slow = ngram._generate_by_join(start, table, ngram.unseen_choice(model, 1.4), model, 12, "id", 3, 1)
     assert sorted(map(str, fast.collect())) == sorted(map(str, slow.collect()))
+
+
+def test_counts_in_tasks_equal_counted_rows(spark):
+    docs = [*DOCS, [], [4], None, [-100, 3, 7], [3, 25, 7, 3], [3, None, 7, 7]]
+    table = spark.createDataFrame([(d,) for d in docs], "ids array<int>").repartition(3)
+    found = {(r["ctx"], r["next"]): r["n"] for r in ngram.count_transitions(table, vocab=20).collect()}
+    pairs = [(a, b) for d in docs if d for a, b in zip(d, d[1:]) if None not in (a, b) and 0 <= a < 20 and 0 <= b < 20]
+    assert found == {p: pairs.count(p) for p in pairs}
