@@ -1,18 +1,23 @@
-"""Language-model scores: a log-bilinear model trained with noise-contrastive estimation, over counted words.
+"""Language-model scores: a log-bilinear model trained with noise-contrastive estimation, in two factors.
 
-Words of all training documents are counted by Spark. The ``SHORT`` most frequent ones, the end of a text and "any other
-word" are the classes of the neural model: the two classes before a token, each through a matrix of its own, predict its
-class. Inside "any other word" a word has its smoothed share of the counts, so the probabilities of a token add up to one.
+Words of all training documents are counted by Spark. First factor: the ``SHORT`` most frequent words, the end of a text and "any
+other word" are classes; the two classes before a token, each through a matrix of its own, predict its class. Second
+factor: every other training word has a vector and a bias of its own. Words are dealt by hash into buckets of about ``BUCKET``; a
+bucket has its share of the counts, and the vector of the latest class word before the token, as the first factor learnt it,
+predicts the word inside its bucket. So every training word has a vector, tables grow with the distinct words, and
+the probabilities of all words (with one unknown word of count 0) add up to one in every context.
 
 Training tokens are counted once, as class triples in a written table, dealt into tasks of ``TASK_TRIPLES``. In each of ``ROUNDS``
 rounds every partition walks all its triples ``PASSES`` times in noise-contrastive steps in numpy, each triple weighted by its
 count, from the same weights; their averages, weighted by tokens, start the next round. So every token counts in every pass
-and the steps follow the triples. The driver only holds the weights (a few thousand numbers per partition).
+and the steps follow the triples. The driver only holds the weights (a few thousand numbers per partition). For the second factor
+(class, word) counts meet by bucket; a bucket is trained whole in one task, against words drawn from it by their counts, so
+nothing is averaged, and no group is hot: a word has at most one row for each class and task that counted it.
 
-Scoring computes the normaliser of every context by matrix products. Counts of the ``HEAD`` most frequent words are sent
-to the tasks (12 bytes each); all other words of a text meet their counts in a join, so no vocabulary is ever held whole.
+Scoring computes the normaliser of every context by matrix products. Counts and vectors of at most ``HEAD`` most frequent words are
+sent to the tasks; all other words of a text meet theirs in joins, so no vocabulary is ever held whole.
 
-Edge cases: null and empty texts are one end token. Rows equal in id and text are one document. An empty training
+Edge cases: null and empty texts are one end token. Rows equal in id and text give a row each. An empty training
 table leaves every word unknown (base probability as the formula says) and ``score`` equal to ``base_score``. An empty table
 gives an empty result. Words are told apart by 64-bit hashes. Only the id and the text are read, so other columns cannot clash.
 """
@@ -31,6 +36,7 @@ from .common import mix, slices, words
 
 SHORT = 255
 HEAD = 1 << 17
+BUCKET = 64
 WIDTH = 16
 NOISE = 128
 ROUNDS = 3
@@ -38,6 +44,14 @@ PASSES = 3
 LEAST_STEPS = 32
 BATCH = 4096
 TASK_TRIPLES = 65_536
+TASK_TOKENS = 1 << 21
+TASK_WORDS = 1 << 17
+WORD_NOISE = 4
+WORD_DRAWS = 8
+WORD_STEPS = 20
+WORD_RATE = 0.1
+WORD_PENALTY = 32.0
+CHUNK = 1 << 15
 RATE = 0.02
 ALPHA = 0.1
 END = int(mix(np.array([0xE0D], np.uint64))[0])
@@ -58,6 +72,19 @@ class Counts:
     def mass(self) -> float:
         return self.tokens + ALPHA * (self.distinct + 1)
 
+    @property
+    def head_buckets(self) -> int:
+        return len(self.head) // BUCKET + 1
+
+    @property
+    def buckets(self) -> int:
+        return self.head_buckets + (self.distinct - len(self.head)) // BUCKET + 1
+
+    def bucket(self, word: np.ndarray, in_head: np.ndarray) -> np.ndarray:
+        """Bucket of each word: head words share buckets among themselves."""
+        tail = self.head_buckets + (word % np.uint64(self.buckets - self.head_buckets)).astype(np.int64)
+        return np.where(in_head, (word % np.uint64(self.head_buckets)).astype(np.int64), tail)
+
     @property
     def classes(self) -> int:
         return len(self.short) + 1
@@ -126,11 +153,22 @@ def word_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
 def summary(counts: DataFrame) -> Counts:
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()  # HEAD rows
+    # the least count of the head comes from a histogram (64 steps a doubling), so no task sorts the vocabulary
+    step = F.floor(F.log2("n") * 64).cast("int")
+    sizes = sorted(((r["step"], r["size"]) for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("size")).collect()), reverse=True)
+    least, held = 1 << 30, 0
+    for at, size in sizes:
+        held += size
+        if held > HEAD:
+            break
+        least = at
+    top = counts.filter((step >= least) | (F.col("word") == END - (1 << 64 if END >> 63 else 0))).toPandas()  # HEAD rows and the end
     word = top["word"].to_numpy(np.int64).view(np.uint64)
     n = top["n"].to_numpy(np.int64)
+    order = np.lexsort((word, -n))
+    frequent = word[order]
     order = np.argsort(word)
-    short = np.unique(np.append(word[word != np.uint64(END)][:SHORT], np.uint64(END)))
+    short = np.unique(np.append(frequent[frequent != np.uint64(END)][:SHORT], np.uint64(END)))
     return Counts(int(tokens), int(distinct), word[order], n[order], short)
 
 
@@ -145,6 +183,13 @@ def _contexts(classes: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray
     return before[1] * (size + 1) + before[0]
 
 
+def _recent(classes: np.ndarray, offsets: np.ndarray, other: int) -> np.ndarray:
+    """The latest class before each token that is a word's own; ``other + 1`` where its text has none yet."""
+    last = np.full(len(classes), -1, np.int64)
+    last[1:] = np.maximum.accumulate(np.where(classes != other, np.arange(len(classes)), -1))[:-1]
+    return np.where(last >= np.repeat(offsets[:-1], np.diff(offsets)), classes[last], other + 1)
+
+
 def class_triples(docs: DataFrame, counts: Counts, text_column: str = "text") -> DataFrame:
     """``[code, n]``: how often a class follows two classes, over all tokens."""
     sent = docs.sparkSession.sparkContext.broadcast(counts.short)  # SHORT hashes
@@ -280,19 +325,180 @@ def train(triples: DataFrame, counts: Counts, rounds: int = ROUNDS, passes: int
     return model
 
 
-def score(docs: DataFrame, counts: DataFrame, known: Counts, model: LogBilinear, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def word_cells(docs: DataFrame, known: Counts, text_column: str = "text") -> DataFrame:
+    """``[bucket, word, recent, n]``: how often a word without a class comes after its latest class word, added up inside tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+    size = known.classes + 1
+
+    def run(batches):
+        known = sent.value
+        head, short = Finder(known.head), Finder(known.short)
+        for batch in batches:
+            held = []
+            for part in slices(batch, "_text", 1 << 22):
+                tokens, offsets = token_stream(part.column("_text"))
+                found = short.find(tokens)
+                classes = np.where(found < 0, known.classes - 1, found)
+                open_ = np.flatnonzero(found < 0)
+                word, code = np.unique(tokens[open_], return_inverse=True)
+                cell, n = np.unique(code * size + _recent(classes, offsets, known.classes - 1)[open_], return_counts=True)
+                held.append((word[cell // size], cell % size, n))
+            word, recent, n = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64),) * 3
+            if len(word):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(known.bucket(word, head.find(word) >= 0)), pa.array(_signed(word)), pa.array(recent.astype(np.int32)), pa.array(n.astype(np.int64))],
+                    ["bucket", "word", "recent", "n"],
+                )
+
+    return docs.select(F.col(text_column).alias("_text")).mapInArrow(run, "bucket long, word long, recent int, n long")
+
+
+def _firsts(*keys: np.ndarray) -> np.ndarray:
+    """Places where sorted rows change."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(new)
+
+
+def fit_words(bucket: np.ndarray, word: np.ndarray, recent: np.ndarray, n: np.ndarray, features: np.ndarray, seed: int):
+    """Vectors of all words of whole buckets by noise-contrastive steps.
+
+    Rows are sorted by (bucket, word, recent) and distinct. Returned are the first row of each word, its count, its
+    weights, the place of the first word of each bucket and the log of the sum of all words' scores in each bucket by class.
+    """
+    rng = np.random.default_rng(seed)
+    first = _firsts(bucket, word)
+    owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+    count = np.add.reduceat(n, first)
+    begin = _firsts(bucket[first])
+    group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(first))))
+    mass = np.add.reduceat(count + ALPHA, begin)
+    share = (count + ALPHA) / mass[group]
+    # noise: WORD_NOISE words of the bucket for a token, drawn at most WORD_DRAWS times for a row and weighted up beyond
+    times = np.minimum(n, WORD_DRAWS) * WORD_NOISE
+    high = np.cumsum(share)
+    low = np.append(0, high)[begin]
+    row = np.repeat(np.arange(len(n)), times)
+    of = group[owner[row]]
+    top = np.append(low[1:], high[-1])
+    drawn = np.searchsorted(high, low[of] + rng.random(len(row)) * (top - low)[of], "right")
+    drawn = np.clip(drawn, begin[of], np.append(begin[1:], len(first))[of] - 1)
+    size = len(features)
+    cell, where = np.unique(np.concatenate([owner * size + recent, drawn * size + recent[row]]), return_inverse=True)
+    true = np.bincount(where[: len(n)], n, len(cell)).astype(np.float32)
+    both = true + np.bincount(where[len(n) :], (n * WORD_NOISE / times)[row], len(cell)).astype(np.float32)
+    at, given = cell // size, features[cell % size]
+    starts = _firsts(at)
+    trained = at[starts]
+    weights = np.zeros((len(first), features.shape[1] + 1), np.float32)
+    weights[:, -1] = np.log(share)
+    start, offset = weights[:, -1].copy(), np.log(WORD_NOISE * share)[at].astype(np.float32)
+    m, v = np.zeros_like(weights), np.zeros_like(weights)
+    for step in range(1, WORD_STEPS + 1):
+        score = np.einsum("nd,nd->n", given, weights[at, :-1]) + weights[at, -1] - offset
+        error = both / (1 + np.exp(-np.clip(score, -30, 30))) - true
+        slope = WORD_PENALTY * weights
+        slope[:, -1] = weights[:, -1] - start
+        slope[trained, :-1] += np.add.reduceat(error[:, None] * given, starts)
+        slope[trained, -1] += np.add.reduceat(error, starts)
+        m, v = 0.8 * m + 0.2 * slope, 0.95 * v + 0.05 * slope * slope
+        rate = WORD_RATE * (1 - 0.9 * step / WORD_STEPS)
+        weights -= rate * (m / (1 - 0.8**step)) / (np.sqrt(v / (1 - 0.95**step)) + 1e-8)
+    weights = weights.astype(np.float16)  # as they are kept, so that normalisers fit
+    scores = weights[:, :-1].astype(np.float32) @ features.T + weights[:, -1:].astype(np.float32)
+    peak = np.maximum.reduceat(scores, begin)
+    norm = peak + np.log(np.add.reduceat(np.exp(scores - peak[group]), begin))
+    return first, count, weights, begin, norm
+
+
+def train_words(cells: DataFrame, known: Counts, features: np.ndarray) -> DataFrame:
+    """``[bucket, word, n, weights]`` of every word without a class, and ``[bucket, null, null, shares]`` of its buckets.
+
+    ``shares`` holds, for each class, the log10 of the bucket's part of "any other word" less the log10 of its normaliser.
+    """
+    sent = cells.sparkSession.sparkContext.broadcast(features)
+    mass = known.mass * known.class_shares()[-1]
+    parts = max(1, -(-known.tokens // TASK_TOKENS), -(-known.distinct // TASK_WORDS))
+
+    def run(batches):
+        held = [[b.column(k).to_numpy() for k in range(4)] for b in batches]
+        if not held:
+            return
+        bucket, word, recent, n = (np.concatenate(x) for x in zip(*held))
+        del held
+        order = np.lexsort((recent, word, bucket))
+        bucket, word, recent, n = bucket[order], word[order], recent[order].astype(np.int64), n[order]
+        first = _firsts(bucket, word, recent)
+        n = np.add.reduceat(n, first)
+        bucket, word, recent = bucket[first], word[first], recent[first]
+        ends = np.append(_firsts(bucket)[1:], len(bucket))
+        begin = 0
+        while begin < len(bucket):  # whole buckets of about CHUNK rows
+            end = int(ends[min(np.searchsorted(ends, begin + CHUNK), len(ends) - 1)])
+            b, w = bucket[begin:end], word[begin:end]
+            first, count, weights, groups, norm = fit_words(b, w, recent[begin:end], n[begin:end], sent.value, int(b[0]))
+            share = np.log10(np.add.reduceat(count + ALPHA, groups) / mass)[:, None] - norm / np.log(10)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(b[first], b[first][groups])),
+                    pa.concat_arrays([pa.array(w[first]), pa.nulls(len(groups), pa.int64())]),
+                    pa.concat_arrays([pa.array(count), pa.nulls(len(groups), pa.int64())]),
+                    pa.array([x.tobytes() for x in weights] + [x.tobytes() for x in share.astype(np.float32)], pa.binary()),
+                ],
+                ["bucket", "word", "n", "weights"],
+            )
+            begin = end
+
+    return cells.repartition(parts, "bucket").mapInArrow(run, "bucket long, word long, n long, weights binary")
+
+
+def class_features(model: LogBilinear) -> np.ndarray:
+    """What the latest class tells, as the first factor learnt it, at a mean square of one; a last row of zeros for none."""
+    near = (model.p["r"] @ model.p["c"][1])[:-1]
+    near = (near - near.mean(axis=0)) / max(float(near.std()), 1e-6)
+    return np.vstack([near, np.zeros((1, near.shape[1]))]).astype(np.float32)
+
+
+@dataclass(frozen=True)
+class HeadWords:
+    """Weights of the head words in the order of ``Counts.head`` and shares of their buckets."""
+
+    weights: np.ndarray
+    shares: np.ndarray
+
+
+def head_words(words: DataFrame, known: Counts, features: np.ndarray) -> HeadWords:
+    weights = np.zeros((len(known.head), features.shape[1] + 1), np.float16)
+    shares = np.zeros((known.head_buckets, len(features)), np.float32)
+    head = words.filter(F.col("bucket") < known.head_buckets)
+    own = head.filter(F.col("word").isNotNull()).select("word", "weights").toPandas()  # HEAD rows
+    if len(own):
+        at = np.searchsorted(known.head, own["word"].to_numpy(np.int64).view(np.uint64))
+        weights[at] = np.stack([np.frombuffer(x, np.float16) for x in own["weights"]])
+    groups = head.filter(F.col("word").isNull()).select("bucket", "weights").toPandas()  # a row for BUCKET of them
+    if len(groups):
+        shares[groups["bucket"].to_numpy()] = np.stack([np.frombuffer(x, np.float32) for x in groups["weights"]])
+    return HeadWords(weights, shares)
+
+
+def _word_log10(weights: np.ndarray, shares: np.ndarray, features: np.ndarray) -> np.ndarray:
+    score = np.einsum("nd,nd->n", weights[:, :-1].astype(np.float32), features) + weights[:, -1]
+    return score / np.log(10) + shares
+
+
+def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``[doc_id, n_tokens, n_known, base_score, score]``, one row per document."""
-    sent = docs.sparkSession.sparkContext.broadcast((known, model))  # HEAD words and the weights
+    features = class_features(model)
+    sent = docs.sparkSession.sparkContext.broadcast((known, model, features, head_words(table, known, features)))  # HEAD words and the weights
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "_text"))
 
     def run(batches):
-        known, model = sent.value
+        known, model, features, own = sent.value
         head, short = Finder(known.head), Finder(known.short)
         guess, norm = model.contexts()
         other = known.classes - 1
-        other_share = np.log10(known.class_shares()[other])
         for batch in batches:
             for part in slices(batch, "_text"):
                 tokens, offsets = token_stream(part.column("_text"))
@@ -302,45 +508,73 @@ def score(docs: DataFrame, counts: DataFrame, known: Counts, model: LogBilinear,
                 in_head = at >= 0
                 base = np.where(in_head, known.log_share(known.head_count[at] if len(known.head) else np.zeros(len(at))), 0.0)
                 neural = model.log10(guess, norm, _contexts(classes, offsets, known.classes), classes)
-                # inside "any other word": the share of the word, less that of all others; rare words add theirs later
-                neural += np.where(classes == other, base - other_share, 0.0)
+                # inside "any other word": head words by their vectors here, all others later
+                recent = _recent(classes, offsets, other)
+                inner = np.flatnonzero((classes == other) & in_head)
+                near = recent[inner]
+                neural[inner] += _word_log10(own.weights[at[inner]], own.shares[known.bucket(tokens[inner], True), near], features[near])
                 sums = [np.bincount(owner, x, part.num_rows) for x in (in_head, base, neural)]
                 # words outside the head, counted per document
                 rare = np.flatnonzero(~in_head)
-                order = rare[np.lexsort((tokens[rare], owner[rare]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (tokens[order][1:] != tokens[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-                first = np.flatnonzero(new)
+                order = rare[np.lexsort((recent[rare], tokens[rare], owner[rare]))]
+                first = _firsts(owner[order], tokens[order], recent[order])
                 times = np.diff(np.append(first, len(order)))
+                order = order[first]
                 key = part.column("key").to_numpy()
                 n = len(first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.concat_arrays([part.column("doc_id"), pa.nulls(n, part.column("doc_id").type)]),
-                        pa.array(np.concatenate([key, key[owner[order][first]]])),
-                        pa.concat_arrays([pa.nulls(part.num_rows, pa.int64()), pa.array(_signed(tokens[order][first]))]),
+                        pa.array(np.concatenate([key, key[owner[order]]])),
+                        pa.concat_arrays([pa.nulls(part.num_rows, pa.int64()), pa.array(_signed(tokens[order]))]),
+                        pa.array(np.concatenate([np.zeros(part.num_rows, np.int32), recent[order].astype(np.int32)])),
+                        pa.array(np.concatenate([np.zeros(part.num_rows, np.int64), known.bucket(tokens[order], False)])),
                         pa.array(np.concatenate([np.diff(offsets), times])),
                         pa.array(np.concatenate([sums[0].astype(np.int64), np.zeros(n, np.int64)])),
                         pa.array(np.concatenate([sums[1], np.zeros(n)])),
                         pa.array(np.concatenate([sums[2], np.zeros(n)])),
                     ],
-                    ["doc_id", "key", "word", "times", "n_known", "base", "neural"],
+                    ["doc_id", "key", "word", "recent", "bucket", "times", "n_known", "base", "neural"],
                 )
 
-    found = cut_lineage(rows.mapInArrow(run, f"doc_id {kind}, key long, word long, times long, n_known long, base double, neural double"))
-    # a word outside the head is rare, so no key of this join is hot
-    rare = found.filter(F.col("word").isNotNull()).select("key", "word", "times").distinct().join(counts, "word", "left")
+    found = cut_lineage(rows.mapInArrow(run, f"doc_id {kind}, key long, word long, recent int, bucket long, times long, n_known long, base double, neural double"))
+    # a word outside the head is rare, so no key of these joins is hot
+    words = table.filter(F.col("word").isNotNull() & (F.col("bucket") >= known.head_buckets)).select("word", "n", "weights")
+    shares = table.filter(F.col("word").isNull()).select("bucket", F.col("weights").alias("shares"))
+    rare = found.filter(F.col("word").isNotNull()).select("key", "word", "recent", "bucket", "times").distinct()
+    rare = rare.join(words, "word", "left").join(shares, "bucket", "left")
+    unknown = np.log10(ALPHA / (known.mass * known.class_shares()[-1]))
+
+    def meet(batches):
+        features = sent.value[2]
+        for batch in batches:
+            learnt = np.asarray(batch.column("weights").is_valid())
+            inner = np.full(batch.num_rows, unknown)
+            some = pa.array(np.flatnonzero(learnt))
+            if len(some):
+                near = batch.column("recent").take(some).to_numpy()
+                weights = np.frombuffer(b"".join(batch.column("weights").take(some).to_pylist()), np.float16).reshape(len(some), -1)
+                held = np.frombuffer(b"".join(batch.column("shares").take(some).to_pylist()), np.float32).reshape(len(some), -1)
+                inner[learnt] = _word_log10(weights, held[np.arange(len(some)), near], features[near])
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in ("key", "times", "n")] + [pa.array(inner)], ["key", "times", "n", "inner"])
+
+    rare = rare.select("key", "recent", "times", "n", "weights", "shares").mapInArrow(meet, "key long, times long, n long, inner double")
     count = F.coalesce("n", F.lit(0))
     share = F.log10((count + F.lit(ALPHA)) / F.lit(known.mass)) * F.col("times")
-    rare = rare.groupBy("key").agg(F.sum(share).alias("rare_base"), F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    whole = found.filter(F.col("word").isNull()).select("doc_id", "key", "times", "n_known", "base", "neural").distinct()
-    added = F.coalesce("rare_base", F.lit(0.0))
-    return whole.join(rare, "key", "left").select(
+    rare = rare.groupBy("key").agg(
+        F.sum(share).alias("rare_base"),
+        F.sum(F.col("inner") * F.col("times")).alias("rare_score"),
+        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+    )
+    whole = found.filter(F.col("word").isNull()).groupBy("doc_id", "key", "times", "n_known", "base", "neural").agg(F.count(F.lit(1)).alias("copies"))
+    whole = whole.join(rare, "key", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
+    return whole.select(
         "doc_id",
         F.col("times").alias("n_tokens"),
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        (F.col("base") + added).alias("base_score"),
-        (F.col("neural" if known.tokens else "base") + added).alias("score"),
+        base.alias("base_score"),
+        (F.col("neural") + F.coalesce("rare_score", F.lit(0.0)) if known.tokens else base).alias("score"),
     )
 
 
@@ -352,4 +586,5 @@ def scored(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_colu
     triples = cut_lineage(class_triples(training, known, text_column))
     parts = -(-triples.count() // TASK_TRIPLES) or 1
     model = train(cut_lineage(triples.repartition(parts)), known)
-    return score(docs, counts, known, model, id_column, text_column).withColumn("train_tokens", F.lit(known.tokens).cast("long"))
+    table = cut_lineage(train_words(word_cells(training, known, text_column), known, class_features(model)))
+    return score(docs, table, known, model, id_column, text_column).withColumn("train_tokens", F.lit(known.tokens).cast("long"))
