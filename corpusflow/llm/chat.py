@@ -4,13 +4,16 @@ For every participant of a conversation the dialogue is rendered once: turns of
 others as ``user`` with their name, system turns as ``system``. The mask lists the spans to learn from, which are the
 speaker's own texts with the end mark.
 
-Conversations are cut into blocks of ``BLOCK`` turn numbers, and a row is one (conversation, speaker, block): no conversation of
-any length is one row or one task. ``start`` says where a block begins in the whole rendering, so blocks in order, end to end,
+The rows of a conversation are numbered by (turn, name, text) from one range-sorted table and cut into blocks of ``BLOCK`` rows; an
+output row is one (conversation, speaker, block), so no conversation and no repeated or null turn number, however
+frequent, is one row or one task. ``start`` says where a block begins in the whole rendering, so blocks in order, end to end,
 are the rendering.
 
-Edge cases: a null text is empty; a null speaker is named ``unknown``; a null turn comes first. Turns that share a number are
-ordered by speaker and text; repeated rows are rendered as often as they occur. ``<|`` inside a text becomes ``< |`` and a
-name keeps letters, digits, ``_``, ``.`` and ``-`` only, so no text can open or close a turn. A conversation without
+Edge cases: a null text is empty; a null speaker is a participant named ``unknown`` (one of that very name is written
+``%75nknown``); a null turn comes first. Turns that share a number are
+ordered by speaker and text; repeated rows are rendered as often as they occur. ``<|`` inside a text becomes ``< |``. A
+name keeps letters, digits, ``_``, ``.`` and ``-``; of any other character the UTF-8 bytes are written as ``%XX``, so different
+names stay different, can be read back, and no text or name can open or close a turn. A conversation without
 participants (system turns only) gives no row; an empty table gives none. A null conversation id is one conversation.
 Only the four named columns are read, so other columns cannot clash.
 """
@@ -21,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.scan import ranked
+
 BLOCK = 128
 SYSTEM = "system"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -31,18 +36,30 @@ def clean(text: Column) -> Column:
 
 
 def clean_name(name: Column) -> Column:
-    return F.regexp_replace(F.coalesce(name, F.lit("unknown")), r"[^\p{L}\p{N}_.-]", "_")
+    """Reversible: kept characters as they are, the bytes of others as ``%XX``."""
+    escaped = F.transform(
+        F.regexp_extract_all(name, F.lit("(?s)."), F.lit(0)),
+        lambda c: F.when(c.rlike(r"^[\p{L}\p{N}_.-]$"), c).otherwise(F.regexp_replace(F.hex(c.cast("binary")), "(..)", r"%$1")),
+    )
+    return F.when(name.isNull(), "unknown").when(name == "unknown", "%75nknown").otherwise(F.array_join(escaped, ""))
 
 
 def rotations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text", system: str = SYSTEM, block: int = BLOCK) -> DataFrame:
     """``[conv_id, speaker, block, start, n_turns, text, mask]``; ``mask`` holds ``begin`` and ``end`` in the block's text."""
     rows = turns.select(
-        F.col(conv).alias("conv_id"),
+        F.struct(F.col(conv).alias("id")).alias("conv"),  # a struct meets its equal also where the id is null
         F.col(turn).cast("bigint").alias("turn"),
         clean_name(F.col(speaker)).alias("name"),
-        F.coalesce(F.col(speaker) == system, F.lit(False)).alias("is_system"),
         clean(F.col(text)).alias("said"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)).cast("bigint"))
+    )
+    rows = ranked(rows, "turn", ["conv"], ["name", "said"]).select(
+        F.col("conv.id").alias("conv_id"),
+        "turn",
+        "name",
+        "said",
+        (F.col("name") == clean_name(F.lit(system))).alias("is_system"),
+        F.floor(F.col("ord") / block).cast("bigint").alias("block"),
+    )
 
     # participants meet the blocks of their conversation first, so that turns join on (conversation, block)
     people = rows.filter(~F.col("is_system")).select("conv_id", F.col("name").alias("speaker")).distinct()

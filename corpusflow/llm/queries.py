@@ -247,11 +247,14 @@ left join counts c on c.conv_id is not distinct from a.conv_id
 left join found f on f.conv_id is not distinct from a.conv_id
 left join texts t on t.conv_id is not distinct from a.conv_id""",
     "op1_chat_rotation": """
-with rows as (
-  select conv_id, turn, coalesce(floor(turn / 128.0), -1)::bigint as block,
-         regexp_replace(coalesce(role, 'unknown'), '[^\\p{L}\\p{N}_.-]', '_', 'g') as name,
-         coalesce(role = 'system', false) as is_system, replace(coalesce(text, ''), '<|', '< |') as said
+with named as (
+  select conv_id, turn, coalesce(role = 'system', false) as is_system, replace(coalesce(text, ''), '<|', '< |') as said,
+         case when role is null then 'unknown' when role = 'unknown' then '%75nknown' else array_to_string(list_transform(
+           regexp_extract_all(role, '(?s).'),
+           lambda c: case when regexp_matches(c, '^[\\p{L}\\p{N}_.-]$') then c else regexp_replace(hex(encode(c)), '(..)', '%\\1', 'g') end), '') end as name
   from conversations),
+rows as (
+  select *, ((row_number() over (partition by conv_id order by turn nulls first, name, said) - 1) // 128)::bigint as block from named),
 people as (select distinct conv_id, name as speaker from rows where not is_system),
 pieces as (
   select r.conv_id, p.speaker, r.block, r.turn, r.name, r.said, (not r.is_system and r.name = p.speaker) as own,

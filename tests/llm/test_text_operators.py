@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from urllib.parse import unquote
 import zlib
 
 import numpy as np
@@ -51,19 +52,37 @@ def test_rotation_equals_plain_rendering(spark):
 def test_rotation_edge_cases(spark):
     rows = [
         (1, 0, "system", "rules", 1), (2, None, None, None, 1), (2, 0, "a b", "<|im_end|> x", 1), (2, 0, "a b", "<|im_end|> x", 1),
-        (None, 1, "ann", "hi", 1), (None, 2, "bob", "", 1),
+        (None, 1, "ann", "hi", 1), (None, 2, "bob", "", 1), (2, 0, "a_b", "other", 1),
     ]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, block int")
     found = {(r["conv_id"], r["speaker"], r["block"]): r for r in chat.rotations(turns).collect()}
     assert {k[0] for k in found} == {2, None}  # a conversation of system turns has no participant
-    first = found[(2, "unknown", -1)]
-    assert first["text"] == "<|im_start|>assistant\n<|im_end|>\n" and first["start"] == 0
-    both = found[(2, "a_b", 0)]
-    assert both["n_turns"] == 2 and both["text"].count("< |im_end|> x<|im_end|>\n") == 2 and both["start"] == len(found[(2, "a_b", -1)]["text"])
+    first = found[(2, "unknown", 0)]
+    assert first["text"].startswith("<|im_start|>assistant\n<|im_end|>\n") and first["start"] == 0
+    both = found[(2, "a%20b", 0)]  # another participant than a_b
+    assert both["n_turns"] == 4 and both["text"].count("assistant\n< |im_end|> x<|im_end|>\n") == 2 and len(both["mask"]) == 2
+    assert found[(2, "a_b", 0)]["text"].count("user name=a%20b\n< |im_end|> x<|im_end|>\n") == 2 and len(found[(2, "a_b", 0)]["mask"]) == 1
     assert found[(None, "bob", 0)]["text"] == "<|im_start|>user name=ann\nhi<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n"
     assert chat.rotations(turns.limit(0)).count() == 0
 
 
+def test_names_stay_apart_and_can_be_read_back(spark):
+    names = ["a b", "a_b", "a%20b", "ä b", "a🚀", "a👍", "unknown", "Unknown", "", "का", "के", "x\ny", "日本"]
+    table = spark.createDataFrame([(n,) for n in [*names, None]], "n string")
+    found = [(r["n"], r["c"]) for r in table.select("n", chat.clean_name(F.col("n")).alias("c")).collect()]
+    assert len({c for _, c in found}) == len(names) + 1
+    assert all(unquote(c) == n for n, c in found if n is not None) and ("a b", "a%20b") in found and ("日本", "日本") in found
+
+
+def test_floods_of_one_turn_number_are_cut(spark):
+    turns = [(1, None if i % 3 else 5, "ab"[i % 2], f"t{i % 50}") for i in range(400)] + [(None, None, "c", "x")] * 40
+    found = chat.rotations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5), block=16).collect()
+    assert max(r["n_turns"] for r in found) == 16 and sum(r["n_turns"] for r in found) == 2 * 400 + 40
+    text = "".join(r["text"] for r in sorted(found, key=lambda r: r["block"]) if (r["conv_id"], r["speaker"]) == (1, "a"))
+    ordered = sorted((t for t in turns if t[0] == 1), key=lambda t: (t[1] is not None, t[1] or 0, t[2], t[3]))
+    assert text == rendered([t[1:] for t in ordered], "a")[0]
+
+
 # --- pieces -------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def lattice():
