@@ -2,8 +2,9 @@
 
 Texts are cut into windows of ``SPAN`` bytes, all of them read. Two gated recurrent layers run over a window in both directions,
 every byte position gets a distribution over languages, and the mean over all positions is the document's.
-Weights are trained in numpy by backpropagation through time with Adam, on windows of at most ``FIT_DOCS`` documents for every
-language (smallest hash of the id first); steps are added for each ``LANGUAGES`` languages. A window of under ``SHORT`` bytes
+Weights are trained in numpy by backpropagation through time with Adam, on at most ``FIT_DOCS`` documents for every
+language (smallest hash of the id first). Of those every window is read: training draws as many windows as its steps look at, equally many
+for each language, and of a language a document first and then any of its windows. Steps are added for each ``LANGUAGES`` languages. A window of under ``SHORT`` bytes
 teaches only where it is the whole text and holds a letter.
 
 Edge cases: a text that is null or holds no letter is ``und`` with score 0; texts of any length are read whole. A null language
@@ -21,17 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import carried, raw_text, slices, text_in
+from ..plans.storage import cut_lineage
+from .common import carried, mix, raw_text, slices, text_in
 
 SPAN = 96
 HIDDEN = 12
 FIT_DOCS = 300
-FIT_WINDOWS = 6
 LANGUAGES = 64
 SHORT = 8
 STEPS = 260
 BATCH = 160
-BLOCK = 4096
+BLOCK = 2048
 _MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also number signs, which are no letters
 
 
@@ -166,11 +167,13 @@ def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column:
     rows = docs.filter(trains & F.col(lang_column).isNotNull()).select(F.col(lang_column).alias("lang"), F.col(id_column).alias("id"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= FIT_DOCS)
-    chosen = chosen.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    chosen = cut_lineage(chosen.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")).distinct())
+    found = max(1, chosen.select("_lang").distinct().count())
+    rounds = -(-found // LANGUAGES)
+    draws = -(-STEPS * BATCH * rounds // found)  # windows that training reads of each language
     texts = docs.select(F.col(id_column).alias("_id"), F.col(lang_column).alias("_lang"), F.col(text_column).alias("_text"))
 
     def cut(batches):
-        rng = np.random.default_rng(3)
         for batch in batches:
             for part in slices(batch, "_text"):
                 data, at = raw_text(part.column("_text"))
@@ -178,13 +181,22 @@ def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column:
                 small = np.flatnonzero(np.diff(at) < SHORT)
                 whole = np.zeros(part.num_rows, bool)
                 whole[small] = [has_letter(t) for t in part.column("_text").take(pa.array(small, pa.int64())).to_pylist()]
-                order = np.lexsort((rng.random(len(owner)), owner))
-                place = np.arange(len(owner)) - np.searchsorted(owner[order], owner[order])
-                keep = np.sort(order[(place < FIT_WINDOWS) & ((lengths >= SHORT) | whole[owner])[order]])
-                langs = part.column("_lang").take(pa.array(owner[keep]))
-                yield pa.RecordBatch.from_arrays([langs, pa.array(lengths[keep]), pa.array([c.tobytes() for c in codes.T[keep]], pa.binary())], ["lang", "n", "codes"])
-
-    sample = texts.join(F.broadcast(chosen), ["_id", "_lang"]).select("_lang", "_text").mapInArrow(cut, "lang string, n long, codes binary").toPandas()
+                keep = np.flatnonzero((lengths >= SHORT) | whole[owner])
+                own = owner[keep]
+                # the first windows by waiting time are a draw without putting back; a document's windows share its rate
+                place = np.uint64(1) + (np.arange(len(owner)) - np.searchsorted(owner, owner))[keep].astype(np.uint64)
+                seed = part.column("_seed").to_numpy().view(np.uint64)[own]
+                chance = (mix(seed ^ (place * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(11)).astype(float) / 2.0**53
+                wait = -np.log1p(-chance) * np.bincount(own, minlength=part.num_rows)[own]
+                langs = part.column("_lang").take(pa.array(own))
+                yield pa.RecordBatch.from_arrays(
+                    [langs, pa.array(lengths[keep]), pa.array([c.tobytes() for c in codes.T[keep]], pa.binary()), pa.array(wait)], ["lang", "n", "codes", "wait"]
+                )
+
+    cuts = texts.join(F.broadcast(chosen), ["_id", "_lang"]).select("_lang", "_text", F.xxhash64("_id", "_lang", "_text").alias("_seed"))
+    cuts = cuts.mapInArrow(cut, "lang string, n long, codes binary, wait double")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("wait", "codes"))
+    sample = cuts.withColumn("turn", turn).filter(F.col("turn") <= draws).drop("turn", "wait").toPandas()
     if not len(sample):
         return None
     sample = sample.sort_values(["lang", "codes"], kind="stable")  # independent of the order of tasks
@@ -194,7 +206,7 @@ def fit(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column:
     pick = rng.choice(len(sample), max(len(sample), 2000), p=(1 / share / len(languages)).to_numpy())
     codes = np.stack([np.frombuffer(c, np.uint8) for c in sample["codes"]]).T[:, pick]
     network = Network(languages)
-    network.train(codes, sample["n"].to_numpy()[pick], np.searchsorted(languages, sample["lang"].to_numpy()[pick]), STEPS * -(-len(languages) // LANGUAGES))
+    network.train(codes, sample["n"].to_numpy()[pick], np.searchsorted(languages, sample["lang"].to_numpy()[pick]), STEPS * rounds)
     return network
 
 

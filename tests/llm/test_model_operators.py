@@ -245,6 +245,21 @@ def test_secret_edges(spark, odd, none):
     assert not secret_scan.train(none).any()
 
 
+def test_training_reads_every_window_of_its_texts(spark, monkeypatch):
+    """What marks a language stands at the end of a long text; with fewer draws than windows, late windows are drawn too."""
+    seen = {}
+    monkeypatch.setattr(langid.Network, "train", lambda self, codes, lengths, target, steps: seen.update(codes={c.tobytes() for c in codes.T}))
+    texts = {lang: "".join(f"{lang}{k:06d}" for k in range(2400)) for lang in ("aa", "bb")}
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    langid.fit(docs, F.lit(True))
+    whole = {t[i : i + 96].encode() for t in texts.values() for i in range(0, len(t), 96)}
+    assert len(whole) == 400 and len(seen["codes"] & whole) > 350  # languages are drawn with repetition
+    monkeypatch.setattr(langid, "STEPS", 1)
+    langid.fit(docs, F.lit(True))
+    late = {t[i : i + 96].encode() for t in texts.values() for i in range(9600, len(t), 96)}
+    assert len(seen["codes"]) <= langid.BATCH and len(seen["codes"] & late) > langid.BATCH // 4
+
+
 # --- language model -----------------------------------------------------------
 def plain_tokens(text):
     table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -285,6 +300,63 @@ def test_probabilities_add_up_to_one():
         assert math.isclose((10.0**logs).sum(), 1.0, rel_tol=1e-5)
 
 
+@pytest.mark.parametrize("head", [1 << 17, 300])
+def test_every_word_has_a_vector_and_scores_add_up(spark, monkeypatch, head):
+    """Scores of texts by a plain loop over tokens; in every context the words, and one unknown word, add up to one."""
+    monkeypatch.setattr(lbl, "HEAD", head)
+    monkeypatch.setattr(lbl, "SHORT", 40)
+    docs = pd.read_parquet("/root/testdata/sf0.001/documents.parquet").iloc[:120]
+    table = spark.createDataFrame(docs[["doc_id", "text"]]).repartition(3)
+    training = table.filter("doc_id % 3 > 0")
+    counts = lbl.word_counts(training)
+    known = lbl.summary(counts)
+    assert len(known.head) <= head + 1 and len(known.short) == 41
+    triples = lbl.class_triples(training, known)
+    model = lbl.train(triples.repartition(2).checkpoint(), known, 1, 1)
+    features = lbl.class_features(model)
+    words = lbl.train_words(lbl.word_cells(training, known), known, features).checkpoint()
+    own = words.filter("word is not null").collect()
+    shares = {r["bucket"]: r["weights"] for r in words.filter("word is null").collect()}
+    n = {r["word"] & (1 << 64) - 1: r["n"] for r in counts.collect()}
+    short = {int(w) for w in known.short}
+    held = {w & (1 << 64) - 1: (b, c, np.frombuffer(x, np.float16).astype(float)) for b, w, c, x in own}
+    assert held.keys() == n.keys() - short and all(held[w][1] == n[w] for w in held)
+    assert any(b >= known.head_buckets for b, _, _ in held.values()) == (head == 300)
+
+    unknown = math.log10(0.1 / (known.mass * known.class_shares()[-1]))
+
+    def inner(word, recent):
+        if word not in held:
+            return unknown
+        bucket, _, q = held[word]
+        return (q[:-1] @ features[recent] + q[-1]) / math.log(10) + float(np.frombuffer(shares[bucket], np.float32)[recent])
+
+    for recent in (0, 7, known.classes):
+        assert math.isclose(sum(10 ** inner(w, recent) for w in held) + 10**unknown, 1.0, rel_tol=1e-3)
+    guess, norm = model.contexts()
+    found = {r["doc_id"]: r["score"] for r in lbl.score(table, words, known, model).collect()}
+    place = {int(w): k for k, w in enumerate(known.short)}
+    other, size = known.classes - 1, known.classes
+    for i, text in zip(docs.doc_id, docs.text):
+        total, far, near, recent = 0.0, size, size, size
+        for t in lbl.token_stream(pa.array([text]))[0].tolist():
+            c = place.get(t, other)
+            total += float(model.log10(guess, norm, np.array([far * (size + 1) + near]), np.array([c]))[0])
+            total += inner(t, recent) if c == other else 0.0
+            far, near, recent = near, c, c if c != other else recent
+        assert math.isclose(found[i], total, rel_tol=1e-4), i
+
+
+def test_vectors_learn_which_class_a_word_follows():
+    """In one bucket word 0 comes after class 0 only, word 1 after class 1 only."""
+    features = np.array([[1.0, -1.0], [-1.0, 1.0], [0.0, 0.0]], np.float32)
+    bucket, word, recent = np.zeros(2, np.int64), np.array([3, 4]), np.array([0, 1])
+    _, count, weights, _, norm = lbl.fit_words(bucket, word, recent, np.array([5000, 5000]), features, 1)
+    logs = weights[:, :-1].astype(float) @ features.T + weights[:, -1:].astype(float) - norm
+    assert count.tolist() == [5000, 5000] and np.exp(logs)[[0, 1], [0, 1]].min() > 0.9
+    assert np.allclose(np.exp(logs).sum(axis=0), 1, atol=1e-3)
+
+
 def test_noise_contrast_learns_a_rule():
     """Class 1 always follows class 0, class 0 always follows class 1."""
     shares = np.array([0.5, 0.5])
@@ -312,7 +384,7 @@ def test_parts_hold_all_counts():
 
 def test_language_model_edges(spark, odd, none):
     found = lbl.scored(odd, fold("doc_id", 10) != 0).collect()
-    assert len(found) == odd.distinct().count()
+    assert len(found) == odd.count()
     empty = [r for r in found if r["doc_id"] in (4, 5)]
     assert all(r["n_tokens"] == 1 and r["n_known"] == 1 for r in empty)
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in found)
