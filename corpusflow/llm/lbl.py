@@ -541,7 +541,8 @@ def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear,
     # a word outside the head is rare, so no key of these joins is hot
     words = table.filter(F.col("word").isNotNull() & (F.col("bucket") >= known.head_buckets)).select("word", "n", "weights")
     shares = table.filter(F.col("word").isNull()).select("bucket", F.col("weights").alias("shares"))
-    rare = found.filter(F.col("word").isNotNull()).select("key", "word", "recent", "bucket", "times").distinct()
+    rare = found.filter(F.col("word").isNotNull()).select("key", "word", "recent", "bucket", "times")
+    rare = rare.repartition("word").distinct()  # one shuffle for dropping repeated rows and for the join
     rare = rare.join(words, "word", "left").join(shares, "bucket", "left")
     unknown = np.log10(ALPHA / (known.mass * known.class_shares()[-1]))
 
