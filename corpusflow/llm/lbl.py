@@ -49,6 +49,7 @@ TASK_WORDS = 1 << 17
 WORD_NOISE = 4
 WORD_DRAWS = 8
 WORD_STEPS = 20
+WORD_BLOCK = 512
 WORD_RATE = 0.1
 WORD_PENALTY = 32.0
 CHUNK = 1 << 15
@@ -387,20 +388,28 @@ def fit_words(bucket: np.ndarray, word: np.ndarray, recent: np.ndarray, n: np.nd
     cell, where = np.unique(np.concatenate([owner * size + recent, drawn * size + recent[row]]), return_inverse=True)
     true = np.bincount(where[: len(n)], n, len(cell)).astype(np.float32)
     both = true + np.bincount(where[len(n) :], (n * WORD_NOISE / times)[row], len(cell)).astype(np.float32)
-    at, given = cell // size, features[cell % size]
-    starts = _firsts(at)
-    trained = at[starts]
+    at = cell // size
     weights = np.zeros((len(first), features.shape[1] + 1), np.float32)
     weights[:, -1] = np.log(share)
     start, offset = weights[:, -1].copy(), np.log(WORD_NOISE * share)[at].astype(np.float32)
+    # a few words at a time against all classes by matrix products, of which only the cells that occur are used
+    full = np.hstack([features, np.ones((size, 1), np.float32)])
+    across = np.ascontiguousarray(full.T)
+    blocks = [(i, min(i + WORD_BLOCK, len(first))) for i in range(0, len(first), WORD_BLOCK)]
+    cuts = np.searchsorted(at, [i for i, _ in blocks] + [len(first)])
+    scores, errors = (np.zeros((WORD_BLOCK, size), np.float32) for _ in range(2))
     m, v = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, WORD_STEPS + 1):
-        score = np.einsum("nd,nd->n", given, weights[at, :-1]) + weights[at, -1] - offset
-        error = both / (1 + np.exp(-np.clip(score, -30, 30))) - true
         slope = WORD_PENALTY * weights
         slope[:, -1] = weights[:, -1] - start
-        slope[trained, :-1] += np.add.reduceat(error[:, None] * given, starts)
-        slope[trained, -1] += np.add.reduceat(error, starts)
+        for k, (i, j) in enumerate(blocks):
+            some = slice(cuts[k], cuts[k + 1])
+            place = cell[some] - i * size
+            score = np.matmul(weights[i:j], across, out=scores[: j - i]).reshape(-1)[place] - offset[some]
+            flat = errors.reshape(-1)
+            flat[place] = both[some] / (1 + np.exp(-np.clip(score, -30, 30))) - true[some]
+            slope[i:j] += errors[: j - i] @ full
+            flat[place] = 0
         m, v = 0.8 * m + 0.2 * slope, 0.95 * v + 0.05 * slope * slope
         rate = WORD_RATE * (1 - 0.9 * step / WORD_STEPS)
         weights -= rate * (m / (1 - 0.8**step)) / (np.sqrt(v / (1 - 0.95**step)) + 1e-8)
