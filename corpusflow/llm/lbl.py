@@ -108,17 +108,18 @@ class Finder:
         lead = (known >> self.shift).astype(np.int64)
         sizes = np.bincount(lead, minlength=1 << _INDEX_LOG2)
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        self.most = int(sizes.max()) if len(known) else 0
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         lead = (hashes >> self.shift).astype(np.int64)
         at, end = self.first[lead], self.first[lead + 1]
         out = np.full(len(hashes), -1, np.int64)
-        for _ in range(self.most):
-            open_ = np.flatnonzero(at < end)
-            hit = open_[self.known[at[open_]] == hashes[open_]]
-            out[hit] = at[hit]
-            at = at + 1
+        open_ = np.flatnonzero(at < end)
+        at, end, wanted = at[open_], end[open_], hashes[open_]
+        while len(open_):
+            hit = self.known[at] == wanted
+            out[open_[hit]] = at[hit]
+            on = np.flatnonzero(~hit & (at + 1 < end))
+            open_, at, end, wanted = open_[on], at[on] + 1, end[on], wanted[on]
         return out
 
 
@@ -220,6 +221,12 @@ def shared_out(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(n)), times), np.repeat(n / times, times)
 
 
+def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to the row ``at`` of a table."""
+    cells = (at[:, None] * table.shape[1] + np.arange(table.shape[1])).reshape(-1)
+    table += np.bincount(cells, rows.reshape(-1), table.size).reshape(table.shape).astype(table.dtype)
+
+
 class LogBilinear:
     """Class vectors ``r`` of contexts, one matrix per position, class vectors ``q`` and biases of targets."""
 
@@ -262,13 +269,13 @@ class LogBilinear:
             d_false = 1 / (1 + np.exp(-np.clip(false, -30, 30))) * part[:, None]
             d_guess = d_true[:, None] * p["q"][target] + d_false @ p["q"][noise]
             slope = {k: np.zeros_like(v) for k, v in p.items()}
-            np.add.at(slope["q"], target, d_true[:, None] * guess)
+            _add_rows(slope["q"], target, d_true[:, None] * guess)
             np.add.at(slope["q"], noise, d_false.T @ guess)
             np.add.at(slope["b"], target, d_true)
             np.add.at(slope["b"], noise, d_false.sum(axis=0))
             slope["c"][0], slope["c"][1] = far_r.T @ d_guess, near_r.T @ d_guess
-            np.add.at(slope["r"], far, d_guess @ p["c"][0].T)
-            np.add.at(slope["r"], near, d_guess @ p["c"][1].T)
+            _add_rows(slope["r"], far, d_guess @ p["c"][0].T)
+            _add_rows(slope["r"], near, d_guess @ p["c"][1].T)
             for k, g in slope.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g * g
@@ -435,7 +442,12 @@ def train_words(cells: DataFrame, known: Counts, features: np.ndarray) -> DataFr
             return
         bucket, word, recent, n = (np.concatenate(x) for x in zip(*held))
         del held
-        order = np.lexsort((recent, word, bucket))
+        names, code = np.unique(word, return_inverse=True)
+        of = np.empty(len(names), np.int64)
+        of[code] = bucket
+        place = np.empty(len(names), np.int64)
+        place[np.lexsort((names, of))] = np.arange(len(names))
+        order = np.argsort(place[code] * len(sent.value) + recent)  # by bucket, word and class
         bucket, word, recent, n = bucket[order], word[order], recent[order].astype(np.int64), n[order]
         first = _firsts(bucket, word, recent)
         n = np.add.reduceat(n, first)
@@ -525,7 +537,8 @@ def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear,
                 sums = [np.bincount(owner, x, part.num_rows) for x in (in_head, base, neural)]
                 # words outside the head, counted per document
                 rare = np.flatnonzero(~in_head)
-                order = rare[np.lexsort((recent[rare], tokens[rare], owner[rare]))]
+                names, code = np.unique(tokens[rare], return_inverse=True)
+                order = rare[np.argsort((owner[rare] * len(names) + code) * len(features) + recent[rare])]
                 first = _firsts(owner[order], tokens[order], recent[order])
                 times = np.diff(np.append(first, len(order)))
                 order = order[first]
