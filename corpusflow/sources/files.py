@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.skew import attach
+
+GROUP_BLOCK = 65_536
+
 
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -117,6 +121,26 @@ def write_metrics(df: DataFrame, path: str, reward: str = "reward", kl: str | No
     df.agg(*summary).write.mode("overwrite").json(f"{path}/summary")
 
 
+def write_groups(df: DataFrame, path: str, key: str, prompt: str = "prompt", response: str = "response", reward: str = "reward", block: int = GROUP_BLOCK) -> None:
+    """Rows grouped by prompt, as JSON lines ``{prompt, group_mean_reward, group_std_reward, samples[]}``.
+
+    The spread is the sample deviation plus 1e-6, absent for one sample. ``key`` is a unique row id and orders the
+    samples. A group of more than ``block`` rows becomes several lines with the same mean and spread, so none is held whole.
+    """
+    value = F.col("reward")
+    rows = df.select(F.col(key).alias("key"), F.col(prompt).alias("prompt"), F.col(response).alias("response"), F.col(reward).cast("double").alias("reward"))
+    stats = rows.groupBy("prompt").agg(
+        F.round(F.avg(value), 4).alias("mean"), F.round(F.stddev_samp(value) + 1e-6, 4).alias("std"), F.count(F.lit(1)).alias("n")
+    )
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / block))
+    placed = attach(rows, stats, ["prompt"], "n", ["key"]).withColumn("part", part).withColumn("reward", F.round("reward", 4))
+    groups = placed.groupBy("prompt", "mean", "std", "part").agg(F.array_sort(F.collect_list(F.struct("key", "prompt", "response", "reward"))).alias("s"))
+    samples = F.transform("s", lambda s: F.struct(s["prompt"].alias("prompt"), s["response"].alias("response"), s["reward"].alias("reward")))
+    groups.select("prompt", F.col("mean").alias("group_mean_reward"), F.col("std").alias("group_std_reward"), samples.alias("samples")).write.mode(
+        "overwrite"
+    ).json(path)
+
+
 def save_tokenizer(vocab: DataFrame, merges: DataFrame, path: str, vocab_size: int, specials: list[str]) -> None:
     """Vocabulary, merges and settings as three small tables."""
     meta = vocab.sparkSession.createDataFrame([(vocab_size, specials)], "vocab_size int, specials array<string>")

@@ -146,6 +146,37 @@ def streaming_best(stream: DataFrame, run: str, step: str, loss: str) -> DataFra
     )
 
 
+def best_any_order(stream: DataFrame, run: str, step: str, loss: str) -> DataFrame:
+    """After each micro-batch the steps of a run that improve on all earlier ones, ``[run, steps, losses]``, newest epoch last.
+
+    Steps may arrive in any order: a late one can add an improvement and take others away. The state of a run is its
+    improvements so far, nothing else. Inside an Arrow batch only its own improvements can be one, so only those are
+    shuffled. Null losses are no steps; of equal steps the least loss counts.
+    """
+    types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
+
+    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf = pdf[pdf[loss].notna()].sort_values([run, step, loss], kind="stable")
+            least = pdf.groupby(run, dropna=False)[loss].cummin()
+            before = least.groupby(pdf[run], dropna=False).shift()
+            yield pdf[before.isna() | (pdf[loss] < before)]
+
+    def update(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        steps, losses = state.get if state.exists else ([], [])
+        for frame in frames:
+            pdf = pd.DataFrame({step: [*steps, *frame[step]], loss: [*losses, *frame[loss]]}).sort_values([step, loss], kind="stable")
+            before = pdf[loss].cummin().shift()
+            pdf = pdf[before.isna() | (pdf[loss] < before)]
+            steps, losses = pdf[step].tolist(), pdf[loss].tolist()
+        state.update((steps, losses))
+        yield pd.DataFrame({run: [k[0]], "steps": [steps], "losses": [losses]})
+
+    body = f"steps array<{types[step]}>, losses array<{types[loss]}>"
+    small = stream.select(run, step, loss).mapInPandas(shrink, f"{run} {types[run]}, {step} {types[step]}, {loss} {types[loss]}")
+    return small.groupBy(run).applyInPandasWithState(update, f"{run} {types[run]}, {body}", body, "update", GroupStateTimeout.NoTimeout)
+
+
 # --- stateless and windowed -------------------------------------------------------
 def tokenize_stream(stream: DataFrame, text: str, *keep: str) -> DataFrame:
     """Format arriving text as a prompt and tokenise it: ``[keep.., ids]``."""

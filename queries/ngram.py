@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
+from corpusflow.operators import bpe
 from corpusflow.operators import ngram as ng
 from corpusflow.operators import sequences as sq
 from corpusflow.sources import tables as t
@@ -14,6 +15,7 @@ from .kit import (
     CORPUS_LM, DOC_BYTES, DOC_PAIRS, PREF_PAIRS, SFT_ITEMS, big, r6, s_bytes, s_dense, s_format, s_prompt, s_r6, with_,
 )
 from .sequences import SEED, stream_of
+from .tokens import BPE_TRAIN, BPE_VOCAB, s_bpe_ids
 
 TEMPERATURE = 0.8
 EVAL_BATCHES, EVAL_ROWS, EVAL_BLOCK = 20, 16, 64
@@ -26,6 +28,14 @@ def lm_fit(spark, root):
     return tr.corpus_model(spark, root).counts.select(big("ctx").alias("ctx"), big("next").alias("next"), big("n").alias("n"))
 
 
+def lm_fit_bpe(spark, root):
+    """The model over learnt merges instead of bytes."""
+    docs = t.documents(spark, root, "text")
+    _, merges = bpe.train_bpe(docs, BPE_VOCAB)
+    counts = ng.fit_ngram(bpe.bpe_encode(docs, merges), vocab=BPE_VOCAB).counts
+    return counts.select(big("ctx").alias("ctx"), big("next").alias("next"), big("n").alias("n"))
+
+
 def _logits(spark, root):
     return tr.corpus_model(spark, root).dense("logit")
 
@@ -159,7 +169,7 @@ def lm_ppl(spark, root):
 QUERIES = {
     f.__name__: f
     for f in (
-        lm_fit, lm_logits, lm_gather, lm_nll, lm_eval, lm_seq_logp, lm_topk, lm_topp, lm_sample, lm_generate,
+        lm_fit_bpe, lm_fit, lm_logits, lm_gather, lm_nll, lm_eval, lm_seq_logp, lm_topk, lm_topp, lm_sample, lm_generate,
         lm_generate_greedy, lm_fit_trigram, lm_generate_trigram, lm_ppl,
     )
 }
@@ -223,6 +233,8 @@ tri as (select ('0x' || h[i])::bigint * 256 + ('0x' || h[i+1])::bigint as ctx, (
         from (select h, unnest(range(1, len(h) - 1)) as i from doc_hex) group by all)"""
 
 ORACLE = {
+    "lm_fit_bpe": with_(BPE_TRAIN, s_bpe_ids("select doc_id as key, text from documents"))
+    + "select l[i]::bigint as ctx, l[i + 1]::bigint as next, count(*) as n from (select l, unnest(range(1, len(l))) as i from lists) group by all",
     "lm_fit_trigram": with_(_TRI) + "select ctx, next, n from tri",
     "lm_generate_trigram": with_(SFT_ITEMS, _TRI)
     + f""", full_ as (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions import arrays as ar
 from corpusflow.functions import text as tx
 from corpusflow.operators import batching as bt
+from corpusflow.operators import bpe
 from corpusflow.operators import sequences as sq
 from corpusflow.plans.storage import cut_lineage
 from corpusflow.sources import tables as t
@@ -15,6 +16,7 @@ from .kit import (
     DOC_BYTES, PREF_PAIRS, RUN_LOG, SFT_ITEMS, big, checksum, digest, r6, s_bytes, s_checksum, s_digest, s_format,
     s_prompt, s_r6, with_,
 )
+from .tokens import BPE_TRAIN, BPE_VOCAB, s_bpe_ids
 
 SIZE = 256
 BLOCK, STRIDE = 128, 64
@@ -75,8 +77,8 @@ def seq_pad(spark, root):
     return _formatted(spark, root).select("pair_id", digest(ar.pad_to("ids", SIZE, ar.PAD_ID)).alias("ids_md5"))
 
 
-def seq_sft_mask(spark, root):
-    out = sq.sft_collate(t.sft_items(spark, root).select("pair_id", "prompt", "response"), SIZE)
+def _masked(spark, root, encode):
+    out = sq.sft_collate(t.sft_items(spark, root).select("pair_id", "prompt", "response"), SIZE, encode)
     return out.select(
         "pair_id",
         big("n_prompt").alias("n_prompt"),
@@ -86,6 +88,16 @@ def seq_sft_mask(spark, root):
     )
 
 
+def seq_sft_mask(spark, root):
+    return _masked(spark, root, tx.byte_ids)
+
+
+def seq_sft_mask_bpe(spark, root):
+    """Merges learnt from the documents, then instruction rows as merged ids with masked labels."""
+    _, merges = bpe.train_bpe(t.documents(spark, root, "text"), BPE_VOCAB)
+    return _masked(spark, root, bpe.bpe_encoder(merges))
+
+
 def seq_pair(spark, root):
     pairs = t.pref_pairs(spark, root)
     return sq.pair_collate(pairs, PAIR_SIZE).select("pair_id", digest("pos_ids").alias("pos_md5"), digest("neg_ids").alias("neg_md5"))
@@ -169,7 +181,7 @@ def seq_accum(spark, root):
 QUERIES = {
     f.__name__: f
     for f in (
-        seq_pos, seq_split, seq_windows, seq_sample, seq_shift, seq_pad, seq_sft_mask, seq_pair, seq_resp_mask,
+        seq_pos, seq_split, seq_windows, seq_sample, seq_shift, seq_pad, seq_sft_mask, seq_sft_mask_bpe, seq_pair, seq_resp_mask,
         seq_rollout_pad, seq_action, seq_traj_of, seq_curriculum, seq_batch, seq_batch_cycle, seq_batch_mod, seq_accum,
     )
 }
@@ -198,6 +210,16 @@ roll as (select pair_id, batch, max_len, least(len(ids), max_len) as length, rew
                 list_resize(ids[len(ids) - least(len(ids), max_len) + 1:], max_len, 2) as ids from roll1)"""
 
 
+_MASKED = f"""select pair_id, np::bigint as n_prompt, {s_digest(f'list_resize(x, {SIZE}, 2)')} as ids_md5, {s_digest('y')} as labels_md5,
+  len(list_filter(y, lambda v: v = -100))::bigint as n_ignored
+from (select pair_id, x, np, list_resize(list_transform(list_append(x[2:], -100), lambda v, i: case when i < np then -100 else v end), {SIZE}, -100) as y
+  from (select pair_id, ids[1:{SIZE}] as x, least(len(p), len(ids), {SIZE}) as np from fmt))"""
+
+_FMT_BPE = f"""{s_bpe_ids(f"""select pair_id * 2 as key, {s_format('prompt', 'response')} as text from sft_items
+  union all select pair_id * 2 + 1, {s_prompt('prompt')} from sft_items""")},
+fmt as (select whole.key // 2 as pair_id, whole.l as ids, head.l as p from lists whole join lists head on head.key = whole.key + 1 where whole.key % 2 = 0)"""
+
+
 def _window_sum(alias: str, cond: str) -> str:
     return f"sum(case when {cond} then {alias} else 0 end)::bigint"
 
@@ -234,11 +256,8 @@ from (select i as sample, floor(('0x' || substr(md5('{SEED}-' || i), 1, 8))::big
 join stream on pos >= s and pos <= s + {SAMPLE_BLOCK} group by sample""",
     "seq_shift": with_(_FMT) + f"select pair_id, {s_digest('list_append(ids[2:], -100)')} as labels_md5 from fmt",
     "seq_pad": with_(_FMT) + f"select pair_id, {s_digest(f'list_resize(ids, {SIZE}, 2)')} as ids_md5 from fmt",
-    "seq_sft_mask": with_(_FMT)
-    + f"""select pair_id, np::bigint as n_prompt, {s_digest(f'list_resize(x, {SIZE}, 2)')} as ids_md5, {s_digest('y')} as labels_md5,
-  len(list_filter(y, lambda v: v = -100))::bigint as n_ignored
-from (select pair_id, x, np, list_resize(list_transform(list_append(x[2:], -100), lambda v, i: case when i < np then -100 else v end), {SIZE}, -100) as y
-  from (select pair_id, ids[1:{SIZE}] as x, least(len(p), len(ids), {SIZE}) as np from fmt))""",
+    "seq_sft_mask": with_(_FMT) + _MASKED,
+    "seq_sft_mask_bpe": with_(BPE_TRAIN, SFT_ITEMS, _FMT_BPE) + _MASKED,
     "seq_pair": with_(PREF_PAIRS)
     + f"""select pair_id, {s_digest(f'list_resize({s_bytes(s_format("prompt", "chosen"))}, {PAIR_SIZE}, 2)')} as pos_md5,
   {s_digest(f'list_resize({s_bytes(s_format("prompt", "rejected"))}, {PAIR_SIZE}, 2)')} as neg_md5 from pref_pairs""",

@@ -108,7 +108,7 @@ def s_symbols(word: str) -> str:
 
 
 # Every step counts the pairs of all words anew and merges the most frequent one (then the smallest ids).
-_TRAIN = f"""{_PRETOK}, {_SYMBOLS},
+BPE_TRAIN = f"""{_PRETOK}, {_SYMBOLS},
 rec(step, w, n, pair) as (
   select 0, {s_symbols('word')}, n, null::varchar from pre, sym
   union all
@@ -132,9 +132,36 @@ apply(step, word, w) as (
   select step + 1, word, replace(w, pair, chr((256 + 261 + step)::int)) from apply join merges on rank = step),
 coded as (select word, w from apply where step = (select max(rank) + 1 from merges))"""
 
+_SPLIT = rf"'''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^\p{{L}}\p{{N}}{_WS}]+|[{_WS}]+'"
+
+
+def s_bpe_ids(source: str) -> str:
+    """``lists(key, l)``: ids by the learnt merges of ``source(key, text)``, reserved tokens as ids of their own."""
+    names = ", ".join(f"'{s}'" for s in bpe.SPECIALS)
+    own = " ".join(f"when '{s}' then chr({256 + i})" for i, s in enumerate(bpe.SPECIALS))
+    return rf"""parts as (
+  select key, unnest(range(1, len(g) + 1)) as q, unnest(g) as part
+  from (select key, string_split(regexp_replace(text, '({'|'.join(bpe.SPECIALS)})', chr(2) || '\1' || chr(2), 'g'), chr(2)) as g from ({source}))),
+part_segs as (
+  select key, q, unnest(range(1, len(g) + 1)) as j, unnest(g) as seg
+  from (select key, q, case when part in ({names}) then [part]
+          else string_split(regexp_replace(part, '([{_WS}])([^{_WS}])', chr(1) || '\1\2', 'g'), chr(1)) end as g from parts)),
+part_words as (
+  select key, q, j, unnest(range(1, len(h) + 1)) as i, unnest(h) as word
+  from (select key, q, j, case when seg in ({names}) then [seg] else regexp_extract_all(seg, {_SPLIT}) end as h from part_segs)),
+apply(step, word, w) as (
+  select 0, word, case word {own} else {s_symbols('word')} end from (select distinct word from part_words), sym
+  union all
+  select step + 1, word, replace(w, pair, chr((256 + 261 + step)::int)) from apply join merges on rank = step),
+coded as (select word, w from apply where step = (select max(rank) + 1 from merges)),
+lists as (
+  select key, list_transform(string_split(string_agg(w, '' order by q, j, i), ''), lambda c: unicode(c) - 256) as l
+  from part_words join coded using (word) group by key)"""
+
+
 ORACLE = {
-    "tok_bpe_train": f"with recursive {_TRAIN} {_MERGES}",
-    "tok_bpe_enc": f"""with recursive {_TRAIN}, {_ENCODED},
+    "tok_bpe_train": f"with recursive {BPE_TRAIN} {_MERGES}",
+    "tok_bpe_enc": f"""with recursive {BPE_TRAIN}, {_ENCODED},
 ids as (select doc_id, string_agg(w, '' order by j, i) as w from doc_words join coded using (word) group by doc_id),
 lists as (select d.doc_id, list_transform(string_split(coalesce(w, ''), ''), lambda c: unicode(c) - 256) as l
           from documents d left join ids on ids.doc_id = d.doc_id)

@@ -55,6 +55,44 @@ def test_streaming_best_equals_running_best(spark, in_files):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
 
 
+def test_best_in_any_order_over_micro_batches(spark, tmp_path):
+    rows = [(r, s, float((s * 37 + (r or 4) * 11) % 101)) for r in (1, 2, None) for s in range(60)] + [(1, 5, 0.5), (2, 7, None), (3, 1, None)]
+    schema = "run int, step bigint, loss double"
+    for i in (2, 0, 3, 1):  # steps go back and forth between files
+        spark.createDataFrame([r for r in rows if r[1] // 15 == i], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    table = jobs.run_to_table(jobs.best_any_order(stream, "run", "step", "loss"), "best", "update").collect()
+    assert len({r["epoch"] for r in table}) == 4
+    got = {r["run"]: list(zip(r["steps"], r["losses"])) for r in sorted(table, key=lambda r: r["epoch"])}
+    want = {}
+    for run in (1, 2, None, 3):
+        best, want[run] = float("inf"), []
+        for _, s, x in sorted((r for r in rows if r[0] == run and r[2] is not None), key=lambda r: (r[1], r[2])):
+            if x < best:
+                best = x
+                want[run].append((s, x))
+    assert {**{3: []}, **got} == want
+
+
+def test_grouped_metrics_come_back(spark, tmp_path):
+    rows = [(i, f"p{i % 3}", f"r{i}", float(i % 7)) for i in range(30)] + [(100, "one", "r", 2.0), (101, None, "n", 1.0)]
+    df = spark.createDataFrame(rows, "id bigint, prompt string, response string, reward double")
+    files.write_groups(df, f"{tmp_path}/whole", "id")
+    raw = {r["prompt"]: r for r in spark.read.json(f"{tmp_path}/whole").collect()}
+    assert set(raw) == {"p0", "p1", "p2", "one", None} and raw["one"]["group_std_reward"] is None
+    for name in ("p0", "p1", "p2"):
+        own = [r for r in rows if r[1] == name]
+        values = pd.Series([r[3] for r in own])
+        assert raw[name]["group_mean_reward"] == round(values.mean(), 4) and raw[name]["group_std_reward"] == round(values.std() + 1e-6, 4)
+        assert [(s["prompt"], s["response"], s["reward"]) for s in raw[name]["samples"]] == [r[1:] for r in own]
+    best = {r["prompt"]: r["response"] for r in files.read_metrics(spark, f"{tmp_path}/whole", "grpo", lines=True).collect()}
+    assert best["p0"] == "r6" and best["one"] == "r"
+    files.write_groups(df, f"{tmp_path}/cut", "id", block=4)  # no line above the block holds a whole group
+    cut = spark.read.json(f"{tmp_path}/cut").collect()
+    assert sum(len(r["samples"]) for r in cut) == 32 and len(cut) > 5
+    assert all(r["group_mean_reward"] == raw[r["prompt"]]["group_mean_reward"] for r in cut)
+
+
 def test_late_rows_are_dropped_from_closed_windows(spark, tmp_path):
     base = dt.datetime(2024, 1, 1)
     # a batch is judged by the watermark the batch before it ran with
