@@ -146,8 +146,7 @@ def lm_generate_greedy(spark, root):
 
 
 def _trigram_model(spark, root):
-    docs = t.documents(spark, root, "text").select(tx.byte_ids("text").alias("ids"))
-    return ng.fit_ngram(docs, order=3)
+    return ng.fit_ngram(t.documents(spark, root, "text"), order=3, ids="text")
 
 
 def lm_fit_trigram(spark, root):
@@ -161,8 +160,8 @@ def lm_generate_trigram(spark, root):
 
 
 def lm_ppl(spark, root):
-    docs = t.documents(spark, root, "lang", "text").select("lang", tx.byte_ids("text").alias("ids"))
-    out = ng.cross_entropy(docs, tr.corpus_model(spark, root), "lang")
+    docs = t.documents(spark, root, "lang", "text")
+    out = ng.cross_entropy(docs, tr.corpus_model(spark, root), "lang", ids="text")
     return out.select("lang", r6("nll").alias("nll"), r6("ppl").alias("ppl"), big("n_tokens").alias("n_tokens"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +95,29 @@ def test_counts_in_tasks_equal_counted_rows(spark):
     found = {(r["ctx"], r["next"]): r["n"] for r in ngram.count_transitions(table, vocab=20).collect()}
     pairs = [(a, b) for d in docs if d for a, b in zip(d, d[1:]) if None not in (a, b) and 0 <= a < 20 and 0 <= b < 20]
     assert found == {p: pairs.count(p) for p in pairs}
+
+
+def test_counts_of_texts_equal_counts_of_their_bytes_in_bounded_slices(spark, monkeypatch):
+    texts = [(1, "a", "abcabc"), (2, "a", ""), (3, None, "x"), (4, None, "é漢z"), (5, "b", None), (6, "b", "ab"), (7, "a", "bc" * 40)]
+    docs = spark.createDataFrame(texts, "doc_id int, lang string, text string").repartition(1)
+    lists = docs.select("lang", tx.byte_ids("text").alias("ids"))
+    largest, bincount = [], np.bincount
+    for order in (2, 3):
+        expected, whole = Counter(), Counter()
+        for _, lang, text in texts:
+            data = (text or "").encode()
+            for i in range(len(data) - order + 1):
+                ctx = int.from_bytes(data[i : i + order - 1], "big")
+                expected[lang, ctx, data[i + order - 1]] += 1
+                whole[ctx, data[i + order - 1]] += 1
+        for df, ids in ((docs, "text"), (lists, "ids")):
+            keyed = ngram.count_transitions(df, "lang", order=order, ids=ids)
+            assert {(r["lang"], r["ctx"], r["next"]): r["n"] for r in keyed.collect()} == expected
+            assert {(r["ctx"], r["next"]): r["n"] for r in ngram.count_transitions(df, order=order, ids=ids).collect()} == whole
+    # what a task holds at once is a slice, however many rows a batch has
+    monkeypatch.setattr(ngram, "SLICE", 100)
+    monkeypatch.setattr(np, "bincount", lambda x, **k: largest.append(len(x)) or bincount(x, **k))
+    batch = pa.RecordBatch.from_pydict({"_ids": pa.array(["abcd" * 5] * 1000)})
+    (out,) = list(ngram._gram_counter(2, 10, [])([pa.RecordBatch.from_pydict({"_ids": pa.array([[1, 2, 3, -1, 2]] * 1000)})]))
+    assert dict(zip(out["_code"].to_pylist(), out["n"].to_pylist())) == {12: 1000, 23: 1000}
+    assert max(largest, default=0) <= 200 and len(list(ngram._id_slices(batch))) > 100
