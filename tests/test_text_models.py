@@ -6,9 +6,11 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.functions import pieces
 from corpusflow.functions import text as tx
 from corpusflow.operators import attention, bpe, ngram, rewards, vectors
 from corpusflow.sources import tables as t
@@ -88,6 +90,64 @@ def test_training_stops_below_min_frequency(spark):
     assert vocab.count() == 261 + merges.count() and merges.count() < 20
 
 
+ODD = ["''s a's's 're 'rest", " ' x", "a  b\t\n\n  c \n", "\u00a0\u3000x\u0085", "\u0663\u00bd4 \u4e2d\u6587 e\u0301 \U0001f680", "<s> <s></s><pad", "  <mask>  x'", "aaaaa", "", " ", None, "\x00\x1c'll"]
+
+
+def test_pieces_equal_those_of_the_pattern(spark):
+    df = spark.createDataFrame(list(enumerate(ODD)), "i int, text string")
+    lines = F.flatten(F.transform(F.split("text", r"(?<=\n)"), lambda line: bpe.pretokens(line)))
+    marks = [s.encode() for s in bpe.SPECIALS]
+    names = {b: bpe._symbol(5 + i) for i, b in enumerate(bpe._byte_order())}
+    for rule, options in ((lines, {"lines": True}), (bpe.bpe_pieces("text"), {"marks": marks})):
+        expected = [r[0] or [] for r in df.orderBy("i").select(rule).collect()]
+        words, at = pieces.split(pa.array(ODD, pa.string()), **options)
+        found = [words[a:b].to_pylist() for a, b in zip(at.tolist(), at.tolist()[1:])]
+        if "marks" in options:
+            found = [[bpe._symbol(marks.index(w)) if w in marks else "".join(names[b] for b in w) for w in row] for row in found]
+        else:
+            found = [[w.decode() for w in row] for row in found]
+        assert found == expected
+
+
+def test_words_and_pairs_are_counted_inside_tasks(spark):
+    """No row for every piece of a text or pair of a word: the rows of a task grow with what differs in it."""
+    df = spark.createDataFrame([("one two  two\n" * 5000,), (None,), ("",)], "text string").coalesce(1)
+    counts = bpe.pretoken_counts(df)
+    assert "Generate" not in counts._jdf.queryExecution().toString()
+    assert bpe._task_counts(df, "text").count() == 4
+    assert {r["word"]: r["n"] for r in counts.collect()} == {"one": 5000, " two": 10000, " ": 5000, "\n": 5000}
+    words = bpe._in_ids(counts, 5, np.uint16)
+    assert bpe._top_codes(words, [], np.uint16, 261, 128).count() == 5
+    assert bpe._task_counts(df.filter("text is null"), "text").count() == 0
+
+
+def test_pairs_of_large_vocabularies_count_alike(spark, trained, monkeypatch):
+    df, _, merges = trained
+    monkeypatch.setattr(bpe, "TABLE_CELLS", 0)
+    _, sorted_merges = bpe.train_bpe(df, 280)
+    assert sorted(sorted_merges.collect()) == sorted(merges.filter(F.col("new_id") < 280).collect())
+
+
+def test_merging_takes_the_first_rank_of_each_word():
+    """Also where a merge gives an earlier token again, whose own pairs rank before it."""
+    rules = [(1, 1, 5), (7, 3, 8), (2, 5, 6), (6, 6, 7), (5, 3, 9)]
+    words = [[1, 1, 1, 1, 1], [], [2, 1, 1, 2, 1, 1, 3], [3], [1, 1, 3, 1, 3], [9, 9]]
+
+    def plain(ids):
+        while found := [(rules.index(r), r) for r in rules if r[:2] in set(zip(ids, ids[1:]))]:
+            (left, right, new), out, i = min(found)[1], [], 0
+            while i < len(ids):
+                hit = ids[i : i + 2] == [left, right]
+                out.append(new if hit else ids[i])
+                i += 1 + hit
+            ids = out
+        return ids
+
+    ids, at = pieces.Rules(rules).merge(np.array(sum(words, [])), np.cumsum([0, *map(len, words)]))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain(w) for w in words]
+    assert pieces.Rules([]).merge(np.array([1, 1]), np.array([0, 2]))[0].tolist() == [1, 1]
+
+
 def _model(spark, vocab=256, order=2):
     docs = spark.createDataFrame([("abracadabra banana",), ("cabbage bandana",), ("",), ("z",)], "text string")
     return ngram.fit_ngram(docs.select(tx.byte_ids("text").alias("ids")), order=order, vocab=vocab)
