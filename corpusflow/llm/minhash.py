@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut_lineage
-from .common import mix, shingles, slices, words
+from .common import mix, shingles, slices, small_batches, words
 from .graph import components
 
 WORDS = 5
@@ -41,6 +41,8 @@ UNIVERSE_BITS = 22
 MISS = 1e-8
 BLOCK = 512
 SEND_ROWS = 500_000
+# bytes of text hashed at once; the arrays for it take some twenty times as much
+SLICE = 1 << 19
 
 _TABLE: dict[int, np.ndarray] = {}
 
@@ -67,8 +69,12 @@ def _shuffled(x: np.ndarray, a: int, b: int) -> np.ndarray:
 def _second(coordinates: int) -> np.ndarray:
     """Windows over the second permutation: row ``c`` holds its values at ``c, c + 1, ...``, going round."""
     if coordinates not in _TABLE:
-        ring = _shuffled(np.arange(1 << UNIVERSE_BITS), 0x2545F491, 0x9E3779B1).astype(np.int32)
-        _TABLE[coordinates] = np.lib.stride_tricks.sliding_window_view(np.concatenate([ring, ring[:coordinates]]), coordinates)
+        size, step = 1 << UNIVERSE_BITS, 1 << 16
+        ring = np.empty(size + coordinates, np.int32)
+        for i in range(0, size, step):
+            ring[i : i + step] = _shuffled(np.arange(i, i + step), 0x2545F491, 0x9E3779B1)
+        ring[size:] = ring[:coordinates]
+        _TABLE[coordinates] = np.lib.stride_tricks.sliding_window_view(ring, coordinates)
     return _TABLE[coordinates]
 
 
@@ -101,7 +107,7 @@ def sketches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 counts, nodes, sigs = [], [], []
                 for found in document_sets(part.column("_text"), size):
                     counts.append(len(found))
@@ -161,7 +167,7 @@ def verify(pairs: DataFrame, held: DataFrame, least: int, percent: int, size: in
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "ta", 1 << 20):
+            for part in slices(batch, "ta", SLICE):
                 close = (_matrix(part.column("sa")) == _matrix(part.column("sb"))).sum(axis=1) >= least
                 part = part.filter(pa.array(close))
                 codes = part.column("ta").dictionary_encode()  # a text is often in many pairs of a batch
@@ -226,8 +232,8 @@ def _block_links(blocks: DataFrame, held: DataFrame, least: int, percent: int, s
     return rows.groupBy("group", "i", "j").applyInPandas(run, "a binary, b binary")
 
 
-def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, coordinates: int = COORDINATES) -> DataFrame:
-    """``[doc_id, n_shingles, component_id, kept]``, one row per input row."""
+def _rooted(docs: DataFrame, percent: int, id_column: str, text_column: str, size: int, coordinates: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches, nodes and ``[node, root]`` of the linked ones, all as written tables."""
     threshold = percent / 100
     least = least_agreement(threshold, coordinates)
     sketch = cut_lineage(sketches(docs, id_column, text_column, size, coordinates))
@@ -250,7 +256,13 @@ def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_colu
     blocks = _open_groups(active.select("band", "node"), roots)
     links = links.unionByName(cut_lineage(_block_links(blocks, held, least, percent, size)))
     roots = components(links)
+    return sketch, nodes, roots
+
 
+def clusters(docs: DataFrame, percent: int, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, coordinates: int = COORDINATES) -> DataFrame:
+    """``[doc_id, n_shingles, component_id, kept]``, one row per input row."""
+    with small_batches(docs.sparkSession):  # all work in Python is done in here
+        sketch, nodes, roots = _rooted(docs, percent, id_column, text_column, size, coordinates)
     grouped = nodes.select("node", "first_id").join(roots, "node")
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
     merged = grouped.join(smallest, "root").select("node", "least_id")
@@ -266,7 +278,7 @@ def _texts(whole: DataFrame, holders: DataFrame, nodes: DataFrame, size: int) ->
 
     def same_set(batches):  # rows that share a doc_id can have different texts
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 nodes = part.column("node").to_pylist()
                 found = [bool(len(f)) and set_digest(f) == n for f, n in zip(document_sets(part.column("text"), size), nodes)]
                 yield part.filter(pa.array(found, pa.bool_()))
@@ -283,5 +295,7 @@ def deduplicate(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", t
     """The rows of ``docs`` that stay: of each group the document with the smallest id; documents without words stay."""
     found = clusters(docs, percent, id_column, text_column, size)
     states = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.max(F.col("component_id").isNull()).alias("loose"))
-    dropped = states.filter("not kept and not loose").select(F.col("doc_id").alias("_dropped_id"))
+    dropped = cut_lineage(states.filter("not kept and not loose").select(F.col("doc_id").alias("_dropped_id")))
+    if dropped.count() <= SEND_ROWS:  # then no text is shuffled
+        dropped = F.broadcast(dropped)
     return docs.join(dropped, docs[id_column].eqNullSafe(dropped["_dropped_id"]), "left_anti")

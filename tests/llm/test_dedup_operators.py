@@ -173,6 +173,25 @@ def test_near_edges(odd, none):
     assert minhash.clusters(none, 85).count() == 0 and minhash.deduplicate(none).count() == 0
 
 
+def test_near_batches_and_texts_are_bounded(spark, odd, monkeypatch):
+    """Python gets batches of a few MB while texts are compared, and ids are sent to the texts, not texts to the ids."""
+    key, seen, cut = "spark.sql.execution.arrow.maxBytesPerBatch", [], minhash.cut_lineage
+    before, broadcast = spark.conf.get(key), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(minhash, "cut_lineage", lambda df: seen.append((df.columns, spark.conf.get(key))) or cut(df))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = minhash.deduplicate(odd)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    in_python = [limit for columns, limit in seen if "_dropped_id" not in columns]
+    assert len(in_python) > 5 and set(in_python) == {"4m"} and spark.conf.get(key) == before
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    with pytest.raises(ValueError), minhash.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
 def test_components_of_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 160)] + [(159, 200), (7, 7)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
