@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut_lineage
-from .common import list_rows, mix, slices, words
+from .common import list_rows, mix, slices, small_batches, words
 
 LEAST = 5
+# bytes of text hashed at once; the arrays for it take some twenty times as much
+SLICE = 1 << 19
 COVER = 0.5
 SEED_LIMIT = 1 << 21
 _FILTER_LOG2 = 24
@@ -48,7 +50,7 @@ def items_of(benchmark: DataFrame, id_column: str, text_column: str) -> DataFram
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 tokens, at = words(part.column("_text"))
                 yield pa.RecordBatch.from_arrays([part.column("item_id"), list_rows(tokens.view(np.int64), at, pa.int64())], ["item_id", "tokens"])
 
@@ -130,7 +132,7 @@ def _hits_sent(rows: DataFrame, seeds: DataFrame, widths: list[int], kind: str)
     def run(batches):
         test = _member(sent.value)
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 tokens, at = words(part.column("_text"))
                 ids, kept = [], []
                 for i in range(part.num_rows):
@@ -148,7 +150,7 @@ def _hits_joined(rows: DataFrame, seeds: DataFrame, widths: list[int], kind: str
 
     def cut(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 tokens, at = words(part.column("_text"))
                 for i in range(part.num_rows):
                     own = [windows(tokens[at[i] : at[i + 1]], w) for w in widths]
@@ -157,7 +159,7 @@ def _hits_joined(rows: DataFrame, seeds: DataFrame, widths: list[int], kind: str
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, "_text", SLICE):
                 tokens, at = words(part.column("_text"))
                 ids, kept = [], []
                 for i, own in enumerate(part.column("_seeds").to_pylist()):
@@ -249,7 +251,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("_text"))
     hits = (_hits_sent if small else _hits_joined)(rows, seeds, widths, kind) if widths else rows.limit(0).selectExpr("doc_id", "cast(null as array<long>) tokens", "cast(null as array<int>) places", "cast(null as array<long>) seeds")
     # rows with the same stretches have the same tiles
-    hits = cut_lineage(hits.withColumn("key", F.xxhash64("tokens", "places")))
+    with small_batches(docs.sparkSession):  # the texts are read in here
+        hits = cut_lineage(hits.withColumn("key", F.xxhash64("tokens", "places")))
 
     lookup = F.broadcast(seeds) if small else seeds
     met = hits.select("key", F.explode("seeds").alias("seed")).distinct().join(lookup, "seed")

@@ -192,6 +192,20 @@ def test_near_batches_and_texts_are_bounded(spark, odd, monkeypatch):
     assert spark.conf.get(key) == before
 
 
+def test_stages_send_small_batches(spark, odd, labels, monkeypatch):
+    key, seen, cut = "spark.sql.execution.arrow.maxBytesPerBatch", [], tiling.cut_lineage
+    before = spark.conf.get(key)
+    monkeypatch.setattr(tiling, "cut_lineage", lambda df: seen.append((df.columns, spark.conf.get(key))) or cut(df))
+    tests = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    assert tiling.remove(odd, tests).count() < odd.count()
+    assert [limit for columns, limit in seen if "key" in columns] == ["4m"] and spark.conf.get(key) == before
+    try:
+        corpus_pipeline.to_pieces(spark, odd, "")
+        assert spark.conf.get(key) == "4m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_components_of_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 160)] + [(159, 200), (7, 7)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
