@@ -12,10 +12,11 @@ rounds every partition walks all its triples ``PASSES`` times in noise-contrasti
 count, from the same weights; their averages, weighted by tokens, start the next round. So every token counts in every pass
 and the steps follow the triples. The driver only holds the weights (a few thousand numbers per partition). For the second factor
 (class, word) counts meet by bucket; a bucket is trained whole in one task, against words drawn from it by their counts, so
-nothing is averaged, and no group is hot: a word has at most one row for each class and task that counted it.
+nothing is averaged, and no group is hot: a word has at most one cell for each class and piece of texts that counted it.
 
 Scoring computes the normaliser of every context by matrix products. Counts and vectors of at most ``HEAD`` most frequent words are
-sent to the tasks; all other words of a text meet theirs in joins, so no vocabulary is ever held whole.
+sent to the tasks. All other words are dealt by bucket into parts: a piece of texts sends each part its tokens in one row, these meet
+the words of the part in one task, and their sums go back to the piece. So no vocabulary is ever held whole.
 
 Edge cases: null and empty texts are one end token. Rows equal in id and text give a row each. An empty training
 table leaves every word unknown (base probability as the formula says) and ``score`` equal to ``base_score``. An empty table
@@ -24,15 +25,18 @@ gives an empty result. Words are told apart by 64-bit hashes. Only the id and th
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut_lineage
-from .common import mix, slices, words
+from .common import mix, shuffle_width, slices, words
 
 SHORT = 255
 HEAD = 1 << 17
@@ -53,6 +57,7 @@ WORD_BLOCK = 512
 WORD_RATE = 0.1
 WORD_PENALTY = 32.0
 CHUNK = 1 << 15
+PIECE = 1 << 24
 RATE = 0.02
 ALPHA = 0.1
 END = int(mix(np.array([0xE0D], np.uint64))[0])
@@ -333,32 +338,71 @@ def train(triples: DataFrame, counts: Counts, rounds: int = ROUNDS, passes: int
     return model
 
 
+def _parts(known: Counts) -> int:
+    return max(1, -(-known.tokens // TASK_TOKENS), -(-known.distinct // TASK_WORDS))
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between neighbouring cuts, one binary each."""
+    return pa.array([values[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])], pa.binary())
+
+
+def _unpacked(columns: Iterable[pa.Array], kind: type) -> np.ndarray:
+    """All binaries end to end as numbers; null is empty."""
+    held = [np.zeros(0, kind)]
+    for column in columns:
+        column = pc.fill_null(column, b"").cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+        if at[-1] > at[0]:
+            held.append(np.frombuffer(data, kind, int(at[-1] - at[0]) // np.dtype(kind).itemsize, int(at[0])))
+    return np.concatenate(held)
+
+
 def word_cells(docs: DataFrame, known: Counts, text_column: str = "text") -> DataFrame:
-    """``[bucket, word, recent, n]``: how often a word without a class comes after its latest class word, added up inside tasks."""
+    """``[part, words, sizes, recent, n]``: how often a word without a class comes after its latest class word, added up inside tasks.
+
+    One row holds what texts of about ``PIECE`` bytes have for the buckets of a part: words, the number of classes each follows, these classes and the counts.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(known)
     size = known.classes + 1
+    parts = _parts(known)
 
     def run(batches):
         known = sent.value
         head, short = Finder(known.head), Finder(known.short)
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in slices(batch, "_text", PIECE)):
             held = []
             for part in slices(batch, "_text", 1 << 22):
                 tokens, offsets = token_stream(part.column("_text"))
                 found = short.find(tokens)
                 classes = np.where(found < 0, known.classes - 1, found)
                 open_ = np.flatnonzero(found < 0)
-                word, code = np.unique(tokens[open_], return_inverse=True)
-                cell, n = np.unique(code * size + _recent(classes, offsets, known.classes - 1)[open_], return_counts=True)
-                held.append((word[cell // size], cell % size, n))
-            word, recent, n = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64),) * 3
+                held.append((tokens[open_], _recent(classes, offsets, known.classes - 1)[open_]))
+            word, recent = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64),) * 2
             if len(word):
+                names, code = np.unique(word, return_inverse=True)
+                part = known.bucket(names, head.find(names) >= 0) % parts
+                order = np.argsort(part, kind="stable")
+                place = np.empty(len(names), np.int64)
+                place[order] = np.arange(len(names))
+                cell, n = np.unique(place[code] * size + recent, return_counts=True)
+                sizes = np.bincount(cell // size, minlength=len(names))
+                part = part[order]
+                cuts = np.append(_firsts(part), len(part))
+                cell_cuts = np.append(0, np.cumsum(sizes))[cuts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(known.bucket(word, head.find(word) >= 0)), pa.array(_signed(word)), pa.array(recent.astype(np.int32)), pa.array(n.astype(np.int64))],
-                    ["bucket", "word", "recent", "n"],
+                    [
+                        pa.array(part[cuts[:-1]].astype(np.int32)),
+                        _packed(names[order], cuts),
+                        _packed(sizes.astype(np.int32), cuts),
+                        _packed((cell % size).astype(np.int16), cell_cuts),
+                        _packed(n.astype(np.int32), cell_cuts),
+                    ],
+                    ["part", "words", "sizes", "recent", "n"],
                 )
 
-    return docs.select(F.col(text_column).alias("_text")).mapInArrow(run, "bucket long, word long, recent int, n long")
+    return docs.select(F.col(text_column).alias("_text")).mapInArrow(run, "part int, words binary, sizes binary, recent binary, n binary")
 
 
 def _firsts(*keys: np.ndarray) -> np.ndarray:
@@ -432,32 +476,36 @@ def train_words(cells: DataFrame, known: Counts, features: np.ndarray) -> DataFr
 
     ``shares`` holds, for each class, the log10 of the bucket's part of "any other word" less the log10 of its normaliser.
     """
-    sent = cells.sparkSession.sparkContext.broadcast(features)
+    sent = cells.sparkSession.sparkContext.broadcast((known, features))
     mass = known.mass * known.class_shares()[-1]
-    parts = max(1, -(-known.tokens // TASK_TOKENS), -(-known.distinct // TASK_WORDS))
 
     def run(batches):
-        held = [[b.column(k).to_numpy() for k in range(4)] for b in batches]
+        known, features = sent.value
+        held = [[b.column(k) for k in ("words", "sizes", "recent", "n")] for b in batches]
         if not held:
             return
-        bucket, word, recent, n = (np.concatenate(x) for x in zip(*held))
+        kinds = (np.uint64, np.int32, np.int16, np.int32)
+        word, sizes, recent, n = (_unpacked(x, kind) for x, kind in zip(zip(*held), kinds))
         del held
         names, code = np.unique(word, return_inverse=True)
-        of = np.empty(len(names), np.int64)
-        of[code] = bucket
+        bucket = known.bucket(names, Finder(known.head).find(names) >= 0)
+        by_bucket = np.argsort(bucket, kind="stable")
         place = np.empty(len(names), np.int64)
-        place[np.lexsort((names, of))] = np.arange(len(names))
-        order = np.argsort(place[code] * len(sent.value) + recent)  # by bucket, word and class
-        bucket, word, recent, n = bucket[order], word[order], recent[order].astype(np.int64), n[order]
-        first = _firsts(bucket, word, recent)
-        n = np.add.reduceat(n, first)
-        bucket, word, recent = bucket[first], word[first], recent[first]
+        place[by_bucket] = np.arange(len(names))
+        cell = np.repeat(place[code] * len(features), sizes) + recent
+        order = np.argsort(cell)  # by bucket, word and class
+        cell = cell[order]
+        first = _firsts(cell)
+        n = np.add.reduceat(n[order], first, dtype=np.int64)
+        owner, recent = np.divmod(cell[first], len(features))
+        owner = by_bucket[owner]
+        bucket, word = bucket[owner], _signed(names[owner])
         ends = np.append(_firsts(bucket)[1:], len(bucket))
         begin = 0
         while begin < len(bucket):  # whole buckets of about CHUNK rows
             end = int(ends[min(np.searchsorted(ends, begin + CHUNK), len(ends) - 1)])
             b, w = bucket[begin:end], word[begin:end]
-            first, count, weights, groups, norm = fit_words(b, w, recent[begin:end], n[begin:end], sent.value, int(b[0]))
+            first, count, weights, groups, norm = fit_words(b, w, recent[begin:end], n[begin:end], features, int(b[0]))
             share = np.log10(np.add.reduceat(count + ALPHA, groups) / mass)[:, None] - norm / np.log(10)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -470,7 +518,7 @@ def train_words(cells: DataFrame, known: Counts, features: np.ndarray) -> DataFr
             )
             begin = end
 
-    return cells.repartition(parts, "bucket").mapInArrow(run, "bucket long, word long, n long, weights binary")
+    return cells.repartitionById(_parts(known), "part").mapInArrow(run, "bucket long, word long, n long, weights binary")
 
 
 def class_features(model: LogBilinear) -> np.ndarray:
@@ -507,20 +555,54 @@ def _word_log10(weights: np.ndarray, shares: np.ndarray, features: np.ndarray) -
     return score / np.log(10) + shares
 
 
+class RareWords:
+    """Words of a part outside the head: counts, weights and the shares of their buckets."""
+
+    def __init__(self, batches: list[pa.RecordBatch], known: Counts) -> None:
+        own, groups = ([b.filter(keep(b.column("word"))) for b in batches] for keep in (pc.is_valid, pc.is_null))
+        word, bucket, n = (np.concatenate([np.zeros(0, np.int64), *(b.column(k).to_numpy() for b in own)]) for k in ("word", "bucket", "n"))
+        order = np.argsort(word.view(np.uint64))
+        self.known = known
+        self.finder = Finder(word.view(np.uint64)[order])
+        self.base = np.append(known.log_share(n[order]), known.log_share(np.zeros(1)))  # the last one of words never seen
+        self.weights = _unpacked((b.column("weights") for b in own), np.float16).reshape(-1, WIDTH + 1)[order]
+        name = np.concatenate([np.zeros(0, np.int64), *(b.column("bucket").to_numpy() for b in groups)])
+        place = np.argsort(name)
+        self.shares = _unpacked((b.column("weights") for b in groups), np.float32).reshape(-1, known.classes + 1)[place]
+        self.group = np.searchsorted(name[place], bucket[order])
+
+    def sums(self, batch: pa.RecordBatch, features: np.ndarray) -> pa.RecordBatch:
+        """What the tokens of each row add to each document."""
+        doc, word, recent = (_unpacked([batch.column(k)], kind) for k, kind in (("docs", np.int32), ("words", np.uint64), ("recents", np.int16)))
+        at = self.finder.find(word)
+        learnt = np.flatnonzero(at >= 0)
+        inner = np.full(len(word), np.log10(ALPHA / (self.known.mass * self.known.class_shares()[-1])))
+        if len(learnt):
+            near, own = recent[learnt], at[learnt]
+            inner[learnt] = _word_log10(self.weights[own], self.shares[self.group[own], near], features[near])
+        sizes = pc.binary_length(batch.column("docs")).to_numpy() // 4
+        first = _firsts(np.repeat(np.arange(batch.num_rows), sizes), doc)
+        cuts = np.searchsorted(first, np.append(0, np.cumsum(sizes)))
+        sums = (np.add.reduceat(x, first) for x in ((at >= 0).astype(np.int64), self.base[at], inner))
+        return pa.RecordBatch.from_arrays([batch.column("origin"), *(_packed(x, cuts) for x in (doc[first], *sums))], ["origin", "docs", "known", "base", "inner"])
+
+
 def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``[doc_id, n_tokens, n_known, base_score, score]``, one row per document."""
     features = class_features(model)
     sent = docs.sparkSession.sparkContext.broadcast((known, model, features, head_words(table, known, features)))  # HEAD words and the weights
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
-    rows = rows.withColumn("key", F.xxhash64("doc_id", "_text"))
+    parts = max(_parts(known), shuffle_width(docs.sparkSession))
 
     def run(batches):
         known, model, features, own = sent.value
         head, short = Finder(known.head), Finder(known.short)
         guess, norm = model.contexts()
         other = known.classes - 1
-        for batch in batches:
+        origin = TaskContext.get().partitionId() << 32
+        for batch in (piece for batch in batches for piece in slices(batch, "_text", PIECE // 2)):
+            held, done = [], 0
             for part in slices(batch, "_text"):
                 tokens, offsets = token_stream(part.column("_text"))
                 owner = np.repeat(np.arange(part.num_rows), np.diff(offsets))
@@ -535,70 +617,62 @@ def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear,
                 near = recent[inner]
                 neural[inner] += _word_log10(own.weights[at[inner]], own.shares[known.bucket(tokens[inner], True), near], features[near])
                 sums = [np.bincount(owner, x, part.num_rows) for x in (in_head, base, neural)]
-                # words outside the head, counted per document
                 rare = np.flatnonzero(~in_head)
-                names, code = np.unique(tokens[rare], return_inverse=True)
-                order = rare[np.argsort((owner[rare] * len(names) + code) * len(features) + recent[rare])]
-                first = _firsts(owner[order], tokens[order], recent[order])
-                times = np.diff(np.append(first, len(order)))
-                order = order[first]
-                key = part.column("key").to_numpy()
-                n = len(first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([part.column("doc_id"), pa.nulls(n, part.column("doc_id").type)]),
-                        pa.array(np.concatenate([key, key[owner[order]]])),
-                        pa.concat_arrays([pa.nulls(part.num_rows, pa.int64()), pa.array(_signed(tokens[order]))]),
-                        pa.array(np.concatenate([np.zeros(part.num_rows, np.int32), recent[order].astype(np.int32)])),
-                        pa.array(np.concatenate([np.zeros(part.num_rows, np.int64), known.bucket(tokens[order], False)])),
-                        pa.array(np.concatenate([np.diff(offsets), times])),
-                        pa.array(np.concatenate([sums[0].astype(np.int64), np.zeros(n, np.int64)])),
-                        pa.array(np.concatenate([sums[1], np.zeros(n)])),
-                        pa.array(np.concatenate([sums[2], np.zeros(n)])),
-                    ],
-                    ["doc_id", "key", "word", "recent", "bucket", "times", "n_known", "base", "neural"],
-                )
+                held.append((np.diff(offsets), *sums, owner[rare] + done, tokens[rare], recent[rare]))
+                done += part.num_rows
+            times, n_known, base, neural, doc, word, recent = (np.concatenate(x) for x in zip(*held))
+            to = known.bucket(word, False) % parts
+            order = np.argsort(to, kind="stable")
+            to = to[order]
+            cuts = np.append(_firsts(to), len(to)) if len(to) else np.zeros(1, np.int64)
+            n = len(cuts) - 1  # rows of words outside the head, one for each part that has some
+            origin += 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(done + n, origin)),
+                    pa.concat_arrays([pa.nulls(done, pa.int32()), pa.array(to[cuts[:-1]].astype(np.int32))]),
+                    pa.concat_arrays([pa.array(np.arange(done, dtype=np.int32)), pa.nulls(n, pa.int32())]),
+                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(n, batch.column("doc_id").type)]),
+                    *(pa.concat_arrays([pa.array(x), pa.nulls(n, pa.array(x).type)]) for x in (times, n_known.astype(np.int64), base, neural)),
+                    *(
+                        pa.concat_arrays([pa.nulls(done, pa.binary()), _packed(x[order].astype(kind), cuts)])
+                        for x, kind in ((doc, np.int32), (word, np.uint64), (recent, np.int16))
+                    ),
+                ],
+                ["origin", "part", "at", "doc_id", "times", "n_known", "base", "neural", "docs", "words", "recents"],
+            )
 
-    found = cut_lineage(rows.mapInArrow(run, f"doc_id {kind}, key long, word long, recent int, bucket long, times long, n_known long, base double, neural double"))
-    # a word outside the head is rare, so no key of these joins is hot
-    words = table.filter(F.col("word").isNotNull() & (F.col("bucket") >= known.head_buckets)).select("word", "n", "weights")
-    shares = table.filter(F.col("word").isNull()).select("bucket", F.col("weights").alias("shares"))
-    rare = found.filter(F.col("word").isNotNull()).select("key", "word", "recent", "bucket", "times")
-    rare = rare.repartition("word").distinct()  # one shuffle for dropping repeated rows and for the join
-    rare = rare.join(words, "word", "left").join(shares, "bucket", "left")
-    unknown = np.log10(ALPHA / (known.mass * known.class_shares()[-1]))
+    whole = f"origin long, part int, at int, doc_id {kind}, times long, n_known long, base double, neural double"
+    found = cut_lineage(rows.mapInArrow(run, f"{whole}, docs binary, words binary, recents binary"))
+    # each part has its words, which come first, and all their tokens
+    words = table.filter(F.col("bucket") >= known.head_buckets).withColumn("part", (F.col("bucket") % parts).cast("int"))
+    rare = found.filter(F.col("part").isNotNull()).select("part", "origin", "docs", "words", "recents")
+    rare = words.unionByName(rare, allowMissingColumns=True).repartitionById(parts, "part").sortWithinPartitions(F.col("origin").asc_nulls_first())
 
     def meet(batches):
-        features = sent.value[2]
+        known, _, features, _ = sent.value
+        held, words = [], None
         for batch in batches:
-            learnt = np.asarray(batch.column("weights").is_valid())
-            inner = np.full(batch.num_rows, unknown)
-            some = pa.array(np.flatnonzero(learnt))
-            if len(some):
-                near = batch.column("recent").take(some).to_numpy()
-                weights = np.frombuffer(b"".join(batch.column("weights").take(some).to_pylist()), np.float16).reshape(len(some), -1)
-                held = np.frombuffer(b"".join(batch.column("shares").take(some).to_pylist()), np.float32).reshape(len(some), -1)
-                inner[learnt] = _word_log10(weights, held[np.arange(len(some)), near], features[near])
-            yield pa.RecordBatch.from_arrays([batch.column(k) for k in ("key", "times", "n")] + [pa.array(inner)], ["key", "times", "n", "inner"])
-
-    rare = rare.select("key", "recent", "times", "n", "weights", "shares").mapInArrow(meet, "key long, times long, n long, inner double")
-    count = F.coalesce("n", F.lit(0))
-    share = F.log10((count + F.lit(ALPHA)) / F.lit(known.mass)) * F.col("times")
-    rare = rare.groupBy("key").agg(
-        F.sum(share).alias("rare_base"),
-        F.sum(F.col("inner") * F.col("times")).alias("rare_score"),
-        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    whole = found.filter(F.col("word").isNull()).groupBy("doc_id", "key", "times", "n_known", "base", "neural").agg(F.count(F.lit(1)).alias("copies"))
-    whole = whole.join(rare, "key", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return whole.select(
-        "doc_id",
-        F.col("times").alias("n_tokens"),
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        base.alias("base_score"),
-        (F.col("neural") + F.coalesce("rare_score", F.lit(0.0)) if known.tokens else base).alias("score"),
-    )
+            cut = batch.column("origin").null_count
+            if cut:
+                held.append(batch.slice(0, cut))
+            if cut < batch.num_rows:
+                words = words or RareWords(held, known)
+                yield words.sums(batch.slice(cut), features)
+
+    rare = rare.mapInArrow(meet, "origin long, docs binary, known binary, base binary, inner binary")
+
+    def finish(rows, rare):
+        doc = _unpacked(rare.column("docs").chunks, np.int32)
+        added = [np.bincount(doc, _unpacked(rare.column(k).chunks, x), rows.num_rows) for k, x in (("known", np.int64), ("base", float), ("inner", float))]
+        at = rows.column("at").to_numpy()
+        out = [rows.column(k).to_numpy() + x[at] for k, x in zip(("n_known", "base", "neural"), added)]
+        return pa.table([rows.column("doc_id"), rows.column("times"), pa.array(out[0].astype(np.int64)), *out[1:]], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    # an origin is a piece of a batch, so groups are small
+    whole = found.filter(F.col("part").isNull()).select("origin", "at", "doc_id", "times", "n_known", "base", "neural")
+    out = whole.groupBy("origin").cogroup(rare.groupBy("origin")).applyInArrow(finish, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return out if known.tokens else out.withColumn("score", F.col("base_score"))
 
 
 def scored(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

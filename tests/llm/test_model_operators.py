@@ -347,6 +347,43 @@ def test_every_word_has_a_vector_and_scores_add_up(spark, monkeypatch, head):
         assert math.isclose(found[i], total, rel_tol=1e-4), i
 
 
+def test_cells_and_rare_words_travel_packed(spark, monkeypatch):
+    """Cells go to training in one row for each piece of texts and part, with plain counts in it; words meet tokens without a join by word."""
+    monkeypatch.setattr(lbl, "HEAD", 300)
+    monkeypatch.setattr(lbl, "SHORT", 40)
+    monkeypatch.setattr(lbl, "TASK_WORDS", 1000)
+    docs = pd.read_parquet("/root/testdata/sf0.001/documents.parquet").iloc[:120]
+    table = spark.createDataFrame(docs[["doc_id", "text"]]).repartition(3)
+    known = lbl.summary(lbl.word_counts(table))
+    place = {int(w): k for k, w in enumerate(known.short)}
+    plain = collections.Counter()
+    for text in docs.text:
+        recent = known.classes
+        for t in lbl.token_stream(pa.array([text]))[0].tolist():
+            if t in place:
+                recent = place[t]
+            else:
+                plain[t, recent] += 1
+    cells = lbl.word_cells(table, known)
+    rows = cells.collect()
+    parts = lbl._parts(known)
+    assert parts > 2 and len(rows) <= 3 * parts < len(plain) / 20
+    found, buckets = collections.Counter(), {}
+    for r in rows:
+        word, sizes, recent, n = (np.frombuffer(r[k], x) for k, x in (("words", np.uint64), ("sizes", np.int32), ("recent", np.int16), ("n", np.int32)))
+        bucket = known.bucket(word, lbl.Finder(known.head).find(word) >= 0)
+        assert (bucket % parts == r["part"]).all() and sizes.sum() == len(recent) == len(n)
+        for w, c, k in zip(np.repeat(word, sizes).tolist(), recent.tolist(), n.tolist()):
+            found[w, c] += k
+        buckets.update(zip(word.tolist(), bucket.tolist()))
+    assert found == plain
+    model = lbl.LogBilinear(known.class_shares())
+    words = lbl.train_words(cells, known, lbl.class_features(model)).checkpoint()
+    assert {r["word"] & (1 << 64) - 1: r["bucket"] for r in words.filter("word is not null").collect()} == buckets
+    out = lbl.score(table, words, known, model)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString() and out.count() == 120
+
+
 def test_vectors_learn_which_class_a_word_follows():
     """In one bucket word 0 comes after class 0 only, word 1 after class 1 only."""
     features = np.array([[1.0, -1.0], [-1.0, 1.0], [0.0, 0.0]], np.float32)
