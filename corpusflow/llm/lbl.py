@@ -25,7 +25,7 @@ gives an empty result. Words are told apart by 64-bit hashes. Only the id and th
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,6 +58,7 @@ WORD_RATE = 0.1
 WORD_PENALTY = 32.0
 CHUNK = 1 << 15
 PIECE = 1 << 24
+SLICE = 1 << 20
 RATE = 0.02
 ALPHA = 0.1
 END = int(mix(np.array([0xE0D], np.uint64))[0])
@@ -143,16 +144,18 @@ def token_stream(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
+def pieces(batches: Iterable[pa.RecordBatch], limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Row ranges of batches whose texts stay near ``limit`` bytes; they are read in slices of ``SLICE``, as hashing takes many times their size."""
+    return (piece for batch in batches for piece in slices(batch, "_text", limit))
+
+
 def word_counts(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``[word, n]`` over all tokens, counted inside tasks first."""
 
     def run(batches):
-        for batch in batches:
-            held = [np.unique(token_stream(part.column("_text"))[0], return_counts=True) for part in slices(batch, "_text", 1 << 23)]
-            if held:
-                found, code = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-                n = np.bincount(code, np.concatenate([h[1] for h in held])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(found)), pa.array(n)], ["word", "n"])
+        for piece in pieces(batches, 2 * PIECE):
+            found, n = np.unique(np.concatenate([token_stream(part.column("_text"))[0] for part in slices(piece, "_text", SLICE)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(found)), pa.array(n)], ["word", "n"])
 
     counted = docs.select(F.col(text_column).alias("_text")).mapInArrow(run, "word long, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -204,17 +207,15 @@ def class_triples(docs: DataFrame, counts: Counts, text_column: str = "text") ->
 
     def run(batches):
         finder = Finder(sent.value)
-        for batch in batches:
+        for piece in pieces(batches, 2 * PIECE):
             held = []
-            for part in slices(batch, "_text", 1 << 22):
+            for part in slices(piece, "_text", SLICE):
                 tokens, offsets = token_stream(part.column("_text"))
                 found = finder.find(tokens)
                 classes = np.where(found < 0, size - 1, found)
-                held.append(np.unique(_contexts(classes, offsets, size) * size + classes, return_counts=True))
-            if held:
-                code, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([h[1] for h in held])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+                held.append((_contexts(classes, offsets, size) * size + classes).astype(np.int32))  # below (SHORT + 3) ** 3
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], ["code", "n"])
 
     counted = docs.select(F.col(text_column).alias("_text")).mapInArrow(run, "code long, n long")
     return counted.groupBy("code").agg(F.sum("n").alias("n"))
@@ -371,15 +372,15 @@ def word_cells(docs: DataFrame, known: Counts, text_column: str = "text") -> Dat
     def run(batches):
         known = sent.value
         head, short = Finder(known.head), Finder(known.short)
-        for batch in (piece for batch in batches for piece in slices(batch, "_text", PIECE)):
+        for piece in pieces(batches):
             held = []
-            for part in slices(batch, "_text", 1 << 22):
+            for part in slices(piece, "_text", SLICE):
                 tokens, offsets = token_stream(part.column("_text"))
                 found = short.find(tokens)
                 classes = np.where(found < 0, known.classes - 1, found)
                 open_ = np.flatnonzero(found < 0)
-                held.append((tokens[open_], _recent(classes, offsets, known.classes - 1)[open_]))
-            word, recent = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64),) * 2
+                held.append((tokens[open_], _recent(classes, offsets, known.classes - 1)[open_].astype(np.int16)))
+            word, recent = (np.concatenate(x) for x in zip(*held))
             if len(word):
                 names, code = np.unique(word, return_inverse=True)
                 part = known.bucket(names, head.find(names) >= 0) % parts
@@ -601,9 +602,9 @@ def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear,
         guess, norm = model.contexts()
         other = known.classes - 1
         origin = TaskContext.get().partitionId() << 32
-        for batch in (piece for batch in batches for piece in slices(batch, "_text", PIECE // 2)):
+        for piece in pieces(batches, PIECE // 2):
             held, done = [], 0
-            for part in slices(batch, "_text"):
+            for part in slices(piece, "_text", SLICE):
                 tokens, offsets = token_stream(part.column("_text"))
                 owner = np.repeat(np.arange(part.num_rows), np.diff(offsets))
                 at, found = head.find(tokens), short.find(tokens)
@@ -618,7 +619,7 @@ def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear,
                 neural[inner] += _word_log10(own.weights[at[inner]], own.shares[known.bucket(tokens[inner], True), near], features[near])
                 sums = [np.bincount(owner, x, part.num_rows) for x in (in_head, base, neural)]
                 rare = np.flatnonzero(~in_head)
-                held.append((np.diff(offsets), *sums, owner[rare] + done, tokens[rare], recent[rare]))
+                held.append((np.diff(offsets), *sums, (owner[rare] + done).astype(np.int32), tokens[rare], recent[rare].astype(np.int16)))
                 done += part.num_rows
             times, n_known, base, neural, doc, word, recent = (np.concatenate(x) for x in zip(*held))
             to = known.bucket(word, False) % parts
@@ -632,12 +633,9 @@ def score(docs: DataFrame, table: DataFrame, known: Counts, model: LogBilinear,
                     pa.array(np.full(done + n, origin)),
                     pa.concat_arrays([pa.nulls(done, pa.int32()), pa.array(to[cuts[:-1]].astype(np.int32))]),
                     pa.concat_arrays([pa.array(np.arange(done, dtype=np.int32)), pa.nulls(n, pa.int32())]),
-                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(n, batch.column("doc_id").type)]),
+                    pa.concat_arrays([piece.column("doc_id"), pa.nulls(n, piece.column("doc_id").type)]),
                     *(pa.concat_arrays([pa.array(x), pa.nulls(n, pa.array(x).type)]) for x in (times, n_known.astype(np.int64), base, neural)),
-                    *(
-                        pa.concat_arrays([pa.nulls(done, pa.binary()), _packed(x[order].astype(kind), cuts)])
-                        for x, kind in ((doc, np.int32), (word, np.uint64), (recent, np.int16))
-                    ),
+                    *(pa.concat_arrays([pa.nulls(done, pa.binary()), _packed(x[order], cuts)]) for x in (doc, word, recent)),
                 ],
                 ["origin", "part", "at", "doc_id", "times", "n_known", "base", "neural", "docs", "words", "recents"],
             )

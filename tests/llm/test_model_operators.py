@@ -384,6 +384,26 @@ def test_cells_and_rare_words_travel_packed(spark, monkeypatch):
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString() and out.count() == 120
 
 
+def test_sizes_of_pieces_change_no_result(spark, monkeypatch):
+    monkeypatch.setattr(lbl, "HEAD", 300)
+    docs = pd.read_parquet("/root/testdata/sf0.001/documents.parquet").iloc[:60]
+    table = spark.createDataFrame(docs[["doc_id", "text"]]).repartition(2)
+    known = lbl.summary(lbl.word_counts(table))
+    model = lbl.LogBilinear(known.class_shares())
+    words = lbl.train_words(lbl.word_cells(table, known), known, lbl.class_features(model)).checkpoint()
+
+    def results():
+        counts, triples = ({tuple(r) for r in x.collect()} for x in (lbl.word_counts(table), lbl.class_triples(table, known)))
+        return counts, triples, sorted(tuple(r) for r in lbl.score(table, words, known, model).collect())
+
+    whole = results()
+    monkeypatch.setattr(lbl, "PIECE", 8000)
+    monkeypatch.setattr(lbl, "SLICE", 900)
+    cut = results()
+    assert whole[:2] == cut[:2] and len(whole[2]) == 60
+    assert all(x[:3] == y[:3] and np.allclose(x[3:], y[3:], rtol=1e-9) for x, y in zip(whole[2], cut[2]))
+
+
 def test_vectors_learn_which_class_a_word_follows():
     """In one bucket word 0 comes after class 0 only, word 1 after class 1 only."""
     features = np.array([[1.0, -1.0], [-1.0, 1.0], [0.0, 0.0]], np.float32)
